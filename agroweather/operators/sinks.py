@@ -57,12 +57,17 @@ def land_bronze(df: DataFrame, path: str, partition_by: str) -> None:
     write_partitioned(df, path, partition_by)
 
 
-def require_not_null(df: DataFrame, columns: Sequence[str]) -> None:
-    """Raise when a required column holds a NULL; one pass over those columns only."""
-    nulls = df.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in columns]).head()
-    found = {name: nulls[name] for name in columns if nulls[name]}
+def require_not_null(df: DataFrame, columns: Sequence[str]) -> int:
+    """Raise when a required column holds a NULL; otherwise the row count.
+
+    One pass that reads those columns only.
+    """
+    nulls = [F.count_if(F.col(name).isNull()).alias(name) for name in columns]
+    totals = df.agg(F.count(F.lit(1)).alias("n_rows"), *nulls).head()
+    found = {name: totals[name] for name in columns if totals[name]}
     if found:
         raise RequiredFieldError(f"NULLs in required columns: {found}")
+    return totals["n_rows"]
 
 
 def load_raw(
@@ -82,9 +87,8 @@ def load_raw(
     raw table is left as it was.
     """
     bronze = read_table(spark, bronze_path, schema)
-    if bronze.isEmpty():
+    if not require_not_null(bronze, required_columns(schema)):
         raise FileNotFoundError(f"no bronze rows under {bronze_path}")
-    require_not_null(bronze, required_columns(schema))
     write_partitioned(bronze, raw_path, partition_by, cluster_by, replace)
 
 

@@ -14,7 +14,7 @@ from agroweather.functions import bu_acre_to_t_ha, parse_yield
 from agroweather.operators.sinks import REPLACE_PARTITIONS, REPLACE_TABLE
 from agroweather.proxies import payloads, views
 from agroweather.schemas import ANALYSIS, RAW_WEATHER, RAW_YIELD, STAGED_WEATHER
-from agroweather.session import scratch_path, use_utc
+from agroweather.session import configure, scratch_path
 from agroweather.sources import (
     Lake,
     attach_points,
@@ -369,11 +369,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-def in_utc(
+def configured(
     query: Callable[[SparkSession, str], DataFrame],
 ) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, after the given session has got the settings of the library."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        use_utc(spark)
-        return query(spark, sf_dir)
+        return query(configure(spark), sf_dir)
 
     return run

@@ -39,12 +39,28 @@ def build_session(
         builder = builder.config("spark.sql.shuffle.partitions", str(initial_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return configure(builder.getOrCreate())
 
 
-def use_utc(spark: SparkSession) -> None:
-    """Load stamps are UTC instants, so the session has to render them in UTC."""
+def is_local(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.master", "").startswith("local")
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Settings a session may get after it was started.
+
+    Load stamps are UTC instants, so the session has to render them in UTC. A
+    local session lists the folders of a partitioned table with one task per
+    core, not one per folder, and keeps small stages spread over its cores.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if is_local(spark):
+        spark.conf.set(
+            "spark.sql.sources.parallelPartitionDiscovery.parallelism",
+            str(spark.sparkContext.defaultParallelism),
+        )
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+    return spark
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -55,7 +71,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not is_local(spark):
             raise ValueError("set spark.checkpoint.dir to a shared folder for intermediate tables")
         root = os.path.join(tempfile.gettempdir(), "agroweather-scratch")
     return f"{root.rstrip('/')}/agroweather/{name}-{uuid.uuid4().hex}"
