@@ -1,0 +1,16 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
+    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows, else leave it to the planner.
+
+    For a side whose size the planner cannot know before it has shuffled the
+    other, larger one. Counting stops one row after the limit.
+    """
+    n_rows = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n_rows <= max_rows else df

@@ -28,6 +28,7 @@ def write_partitioned(
     partition_by: str,
     cluster_by: Sequence[str] = (),
     replace: str = REPLACE_TABLE,
+    rebalance: bool = True,
 ) -> None:
     """Hive-partitioned Parquet, rows within a file ordered by ``cluster_by``.
 
@@ -36,12 +37,14 @@ def write_partitioned(
 
     Rebalancing brings a partition value together in one file where it is small
     and lets adaptive execution split it over tasks where it is large, so that
-    one huge day does not end in one task. The overwrite mode is set on the
-    writer because the session default would decide otherwise.
+    one huge day does not end in one task. A frame read from files already laid
+    out by ``partition_by`` needs no such shuffle (``rebalance=False``). The
+    overwrite mode is set on the writer because the session default would
+    decide otherwise.
     """
+    placed = df.hint("rebalance", F.col(partition_by)) if rebalance else df
     (
-        df.hint("rebalance", F.col(partition_by))
-        .sortWithinPartitions(partition_by, *cluster_by)
+        placed.sortWithinPartitions(partition_by, *cluster_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", _OVERWRITE_MODE[replace])
         .partitionBy(partition_by)
@@ -79,17 +82,20 @@ def load_raw(
     partition_by: str,
     cluster_by: Sequence[str],
     replace: str = REPLACE_TABLE,
-) -> None:
-    """Bronze files to the raw table under its explicit schema.
+) -> int:
+    """Bronze files to the raw table under its explicit schema; returns the row count.
 
     The required-field gate runs before the write, since an overwrite removes
     the old files first. Without bronze rows there is nothing to load and the
-    raw table is left as it was.
+    raw table is left as it was. Bronze is laid out by the same column, so the
+    load is a map-only job that orders the rows of each file.
     """
     bronze = read_table(spark, bronze_path, schema)
-    if not require_not_null(bronze, required_columns(schema)):
+    n_rows = require_not_null(bronze, required_columns(schema))
+    if not n_rows:
         raise FileNotFoundError(f"no bronze rows under {bronze_path}")
-    write_partitioned(bronze, raw_path, partition_by, cluster_by, replace)
+    write_partitioned(bronze, raw_path, partition_by, cluster_by, replace, rebalance=False)
+    return n_rows
 
 
 def refresh_from_watermark(

@@ -2,6 +2,7 @@ from agroweather.plans.analysis import state_yields, weather_yield_correlation
 from agroweather.plans.catalog import CHECKS, run_checks
 from agroweather.plans.features import season_features
 from agroweather.plans.ingestion import (
+    MAX_BROADCAST_BATCHES,
     LoadReport,
     build_county_seed,
     county_seed,
@@ -19,10 +20,17 @@ from agroweather.plans.marts import (
     weather_yield_analysis,
 )
 from agroweather.plans.staging import stage_weather, stage_yields
-from agroweather.plans.warehouse import backfill, build_models, build_warehouse, register_views
+from agroweather.plans.warehouse import (
+    backfill,
+    build_models,
+    build_warehouse,
+    open_models,
+    register_views,
+)
 
 __all__ = [
     "CHECKS",
+    "MAX_BROADCAST_BATCHES",
     "LoadReport",
     "backfill",
     "build_county_seed",
@@ -37,6 +45,7 @@ __all__ = [
     "ingest_weather",
     "ingest_yield",
     "ingest_yield_if_new",
+    "open_models",
     "refresh_weather_fact",
     "register_views",
     "run_checks",

@@ -15,6 +15,7 @@ from agroweather.operators.gate import (
     record_counts,
     work_list,
 )
+from agroweather.operators.joins import broadcast_within
 from agroweather.operators.probes import year_is_loaded
 from agroweather.operators.sinks import REPLACE_TABLE, land_bronze, load_raw
 from agroweather.schemas import INGEST_STAMP, RAW_WEATHER, RAW_YIELD, WEATHER_VARIABLES
@@ -22,8 +23,9 @@ from agroweather.sources.counties import read_gazetteer
 from agroweather.sources.lake import Lake
 from agroweather.sources.weather_payload import (
     attach_points,
+    landed_keys,
     parse_weather_payloads,
-    unanswered_batches,
+    read_payloads,
 )
 from agroweather.sources.yield_payload import in_scope, parse_yield_payloads
 
@@ -34,6 +36,10 @@ WINDOW_START = date(2025, 4, 1)
 WINDOW_END = date(2025, 10, 31)
 TARGET_YEAR = 2025
 
+# Point lists of this many requests (about 50 keys each) are shipped to every
+# executor, so that the response texts need not be shuffled to meet them.
+MAX_BROADCAST_BATCHES = 20_000
+
 WEATHER_TABLE = "weather_daily"
 YIELD_TABLE = "nass_yield"
 
@@ -51,16 +57,9 @@ def _stamp(df: DataFrame, ingested_at: datetime | None) -> DataFrame:
     return df.withColumn(INGEST_STAMP, F.lit(ingested_at or datetime.now(timezone.utc)))
 
 
-def _land(df: DataFrame, path: str, partition_by: str) -> int:
-    """Write bronze and return the row count, counted on the way through."""
-    seen = Observation()
-    land_bronze(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, partition_by)
-    return seen.get["rows"]
-
-
 def ingest_weather(
     spark: SparkSession,
-    payloads: DataFrame,
+    payload_path: str,
     points: DataFrame,
     lake: Lake,
     *,
@@ -71,17 +70,20 @@ def ingest_weather(
     ingested_at: datetime | None = None,
     replace: str = REPLACE_TABLE,
 ) -> LoadReport:
-    """Weather responses ``(batch_id, body)`` of the point batches to raw ``weather_daily``.
+    """Landed weather responses to raw ``weather_daily``.
 
-    Days outside [start, end] are not loaded. Variables left out are NULL in
+    ``<payload_path>/batch_id=<n>/`` holds the responses to point batch ``n``,
+    one JSON document per file; every batch has to be answered. Days outside [start, end] are not loaded. Variables left out are NULL in
     raw. ``replace="partitions"`` keeps the days of other windows in raw.
     """
     variables = variables or WEATHER_VARIABLES
-    batches = point_batches(points, batch_size)
-    missing = unanswered_batches(batches, payloads).head(1)
+    batches = broadcast_within(point_batches(points, batch_size), MAX_BROADCAST_BATCHES)
+    answered = landed_keys(spark, payload_path, "batch_id")
+    missing = batches.join(answered, "batch_id", "left_anti").select("batch_id").head(1)
     if missing:
         raise ValueError(f"no response for batch {missing[0].batch_id}")
 
+    payloads = read_payloads(spark, payload_path, "batch_id")
     observed = parse_weather_payloads(attach_points(payloads, batches), variables).filter(
         F.col("date").between(F.lit(start), F.lit(end))
     )
@@ -89,8 +91,8 @@ def ingest_weather(
         name: F.lit(None).cast("double") for name in WEATHER_VARIABLES if name not in variables
     }
     rows = _stamp(observed.withColumns(unread) if unread else observed, ingested_at)
-    landed = _land(rows.select(*RAW_WEATHER.names), lake.bronze(WEATHER_TABLE), "date")
-    load_raw(
+    land_bronze(rows.select(*RAW_WEATHER.names), lake.bronze(WEATHER_TABLE), "date")
+    n_rows = load_raw(
         spark,
         lake.bronze(WEATHER_TABLE),
         lake.raw(WEATHER_TABLE),
@@ -99,14 +101,15 @@ def ingest_weather(
         cluster_by=["fips"],
         replace=replace,
     )
-    return LoadReport("loaded", landed)
+    return LoadReport("loaded", n_rows)
 
 
 def ingest_yield(
     spark: SparkSession,
-    payloads: DataFrame,
+    payload_path: str,
     lake: Lake,
     *,
+    one_per_file: bool = True,
     commodities: list[str] | None = None,
     states: list[str] | None = None,
     year: int = TARGET_YEAR,
@@ -114,11 +117,18 @@ def ingest_yield(
     ingested_at: datetime | None = None,
     replace: str = REPLACE_TABLE,
 ) -> LoadReport:
-    """Yield responses ``(body)`` to raw ``nass_yield``, refused whole if a cell is too large."""
+    """Landed yield responses to raw ``nass_yield``, refused whole if a cell is too large.
+
+    A file under ``payload_path`` is one JSON document, or one per line with
+    ``one_per_file=False``.
+    """
     commodities = commodities or TARGET_COMMODITIES
     states = states or TARGET_STATES
     records = in_scope(
-        parse_yield_payloads(payloads), commodities=commodities, states=states, year=year
+        parse_yield_payloads(read_payloads(spark, payload_path, one_per_file=one_per_file)),
+        commodities=commodities,
+        states=states,
+        year=year,
     )
     cells = work_list(
         spark.createDataFrame([(state,) for state in states], "state_alpha string"),
@@ -128,8 +138,8 @@ def ingest_yield(
     enforce_record_limit(record_counts(records, cells, limit))
 
     rows = _stamp(records, ingested_at).select(*RAW_YIELD.names)
-    landed = _land(rows, lake.bronze(YIELD_TABLE), "year")
-    load_raw(
+    land_bronze(rows, lake.bronze(YIELD_TABLE), "year")
+    n_rows = load_raw(
         spark,
         lake.bronze(YIELD_TABLE),
         lake.raw(YIELD_TABLE),
@@ -138,16 +148,16 @@ def ingest_yield(
         cluster_by=["state_alpha", "commodity_desc"],
         replace=replace,
     )
-    return LoadReport("loaded", landed)
+    return LoadReport("loaded", n_rows)
 
 
 def ingest_yield_if_new(
-    spark: SparkSession, payloads: DataFrame, lake: Lake, *, year: int = TARGET_YEAR, **options
+    spark: SparkSession, payload_path: str, lake: Lake, *, year: int = TARGET_YEAR, **options
 ) -> LoadReport:
     """:func:`ingest_yield`, skipped when raw already holds the year."""
     if year_is_loaded(spark, lake.raw(YIELD_TABLE), year):
         return LoadReport("skipped")
-    return ingest_yield(spark, payloads, lake, year=year, **options)
+    return ingest_yield(spark, payload_path, lake, year=year, **options)
 
 
 def county_seed(gazetteer: DataFrame, states: list[str]) -> DataFrame:

@@ -10,14 +10,13 @@ from pyspark.sql import functions as F
 from agroweather.functions import in_season
 from agroweather.functions.calendar import SEASON_END, SEASON_START
 from agroweather.operators.sinks import refresh_from_watermark
-from agroweather.schemas import ANALYSIS, COUNTY_CENTROIDS, CROP_YIELD, STAGED_WEATHER
+from agroweather.schemas import ANALYSIS, COUNTY_CENTROIDS, CROP_YIELD, DIM_COMMODITY, STAGED_WEATHER
 
 # Commodity, display name, growing-degree base in °C, bushel weight in lb.
 COMMODITIES = [
     ("corn", "Corn", 10, 56),
     ("soybeans", "Soybeans", 10, 60),
 ]
-COMMODITY_TYPES = "commodity string, display_name string, gdd_base_c bigint, bushel_weight_lb bigint"
 
 # The calendar the date dimension covers by default.
 CALENDAR_START = date(2025, 1, 1)
@@ -31,7 +30,7 @@ def county_dimension(centroids: DataFrame) -> DataFrame:
 
 def commodity_dimension(spark: SparkSession) -> DataFrame:
     """``dim_commodity``"""
-    return spark.createDataFrame(COMMODITIES, COMMODITY_TYPES)
+    return spark.createDataFrame(COMMODITIES, DIM_COMMODITY)
 
 
 def calendar(

@@ -33,9 +33,13 @@ from agroweather.plans.marts import (
 from agroweather.plans.staging import stage_weather, stage_yields
 from agroweather.schemas import (
     ANALYSIS,
+    COUNTY_CENTROIDS,
     CROP_YIELD,
+    DIM_COMMODITY,
+    DIM_DATE,
     RAW_WEATHER,
     RAW_YIELD,
+    SEASON_FEATURES,
     STAGED_WEATHER,
 )
 from agroweather.sources.lake import Lake, read_table
@@ -124,6 +128,37 @@ def build_warehouse(
     )
 
 
+def open_models(
+    spark: SparkSession, lake: Lake, *, store_staging: bool = True
+) -> dict[str, DataFrame]:
+    """The models of a lake built before, for a new session.
+
+    ``store_staging`` is that of the build: with it the staged weather and the
+    features are read, without it they are lazy views over raw.
+    """
+    marts = {
+        "dim_county": COUNTY_CENTROIDS,
+        "dim_commodity": DIM_COMMODITY,
+        "dim_date": DIM_DATE,
+        "fact_weather_daily": STAGED_WEATHER,
+        "fact_crop_yield": CROP_YIELD,
+        "weather_yield_analysis": ANALYSIS,
+    }
+    if store_staging:
+        staged_weather = read_table(spark, lake.staging("stg_weather_daily"), STAGED_WEATHER)
+        features_path = lake.staging("int_weather_growing_season")
+        features = read_table(spark, features_path, SEASON_FEATURES)
+    else:
+        staged_weather = stage_weather(read_table(spark, lake.raw(WEATHER_TABLE), RAW_WEATHER))
+        features = season_features(staged_weather)
+    return {
+        "stg_weather_daily": staged_weather,
+        "stg_nass_yield": stage_yields(read_table(spark, lake.raw(YIELD_TABLE), RAW_YIELD)),
+        "int_weather_growing_season": features,
+        **{name: read_table(spark, lake.mart(name), schema) for name, schema in marts.items()},
+    }
+
+
 def register_views(models: dict[str, DataFrame]) -> None:
     """Expose the models to SQL as temporary views of the same names."""
     for name, model in models.items():
@@ -134,8 +169,8 @@ def backfill(
     spark: SparkSession,
     lake: Lake,
     *,
-    weather_payloads: DataFrame,
-    yield_payloads: DataFrame,
+    weather_payloads: str,
+    yield_payloads: str,
     points: DataFrame,
     weather_start: date = WINDOW_START,
     weather_end: date = WINDOW_END,
@@ -148,7 +183,8 @@ def backfill(
     """Re-run both ingestions for a window and a year, rebuild the models, then check them.
 
     By default raw then holds this window only; ``replace="partitions"`` keeps
-    the days and years of earlier windows. ``points`` is the centroid table.
+    the days and years of earlier windows. The payloads are folders of landed
+    responses, ``points`` is the centroid table.
     Returns the load reports, the models, and the check results.
     """
     reports = {

@@ -129,39 +129,43 @@ def yield_unit_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _landed_weather(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Point table, and the landed responses read back from JSON files."""
+def _landed_weather(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """Point table, and the folder of landed JSON responses to its batches."""
     raw = views.raw_weather(spark, sf_dir)
     points = payloads.weather_points(raw)
     batches = op.point_batches(points, BATCH_SIZE)
     path = f"{scratch_path(spark, 'weather-payloads')}/landed"
     payloads.weather_payloads(raw, batches).write.partitionBy("batch_id").text(path)
-    return points, read_payloads(spark, path, "batch_id")
+    return points, path
 
 
 def parse_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points, landed = _landed_weather(spark, sf_dir)
-    batches = op.point_batches(points, BATCH_SIZE)
+    points, path = _landed_weather(spark, sf_dir)
+    batches = op.broadcast_within(
+        op.point_batches(points, BATCH_SIZE), plans.MAX_BROADCAST_BATCHES
+    )
+    landed = read_payloads(spark, path, "batch_id")
     return parse_weather_payloads(attach_points(landed, batches))
 
 
-def _landed_yields(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _landed_yields(spark: SparkSession, sf_dir: str) -> str:
     path = f"{scratch_path(spark, 'yield-payloads')}/landed"
     payloads.yield_payloads(views.raw_yields(spark, sf_dir)).write.text(path)
-    return read_payloads(spark, path, one_per_file=False)
+    return path
 
 
 def parse_yields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_yield_payloads(_landed_yields(spark, sf_dir))
+    landed = read_payloads(spark, _landed_yields(spark, sf_dir), one_per_file=False)
+    return parse_yield_payloads(landed)
 
 
 def ingest_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = Lake(scratch_path(spark, "ingest-weather"))
-    points, landed = _landed_weather(spark, sf_dir)
+    points, path = _landed_weather(spark, sf_dir)
     start, end = WINDOW
     plans.ingest_weather(
         spark,
-        landed,
+        path,
         points,
         lake,
         start=start,
@@ -178,6 +182,7 @@ def ingest_yield(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         _landed_yields(spark, sf_dir),
         lake,
+        one_per_file=False,
         year=YIELD_YEAR,
         commodities=YIELD_COMMODITIES,
         states=YIELD_STATES,

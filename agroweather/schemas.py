@@ -7,6 +7,7 @@ kept here (``nullable=False``) and enforced by the raw loaders.
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BooleanType,
     DateType,
     DoubleType,
     LongType,
@@ -77,6 +78,26 @@ COUNTY_CENTROIDS = StructType(
     )
 )
 
+DIM_COMMODITY = StructType(
+    _fields(
+        ("commodity", StringType(), False),
+        ("display_name", StringType(), False),
+        ("gdd_base_c", LongType(), False),
+        ("bushel_weight_lb", LongType(), False),
+    )
+)
+
+DIM_DATE = StructType(
+    _fields(
+        ("date", DateType(), False),
+        ("year", LongType(), False),
+        ("month", LongType(), False),
+        ("day", LongType(), False),
+        ("day_of_year", LongType(), False),
+        ("is_growing_season", BooleanType(), False),
+    )
+)
+
 STAGED_WEATHER = StructType(
     _fields(
         ("fips", StringType(), False),

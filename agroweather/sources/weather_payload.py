@@ -30,15 +30,17 @@ def read_payloads(
     return text.select(*([key] if key else []), F.col("value").alias("body"))
 
 
+def landed_keys(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """Distinct values of the folder level ``<key>=<n>``, from the file listing alone."""
+    listing = spark.read.format("binaryFile").load(path)
+    return listing.select(F.col(key).cast("bigint").alias(key)).distinct()
+
+
 def attach_points(payloads: DataFrame, batches: DataFrame) -> DataFrame:
     """Give each landed response the ordered point list of its request."""
     return payloads.join(batches.select("batch_id", "fips_list"), "batch_id", "left")
 
 
-def unanswered_batches(batches: DataFrame, payloads: DataFrame) -> DataFrame:
-    return batches.join(payloads.select("batch_id").distinct(), "batch_id", "left_anti")
-
-
 def _require(condition: Column, value: Column, message: str) -> Column:
     return F.when(F.coalesce(condition, F.lit(False)), value).otherwise(
         F.raise_error(F.lit(message))

@@ -28,10 +28,18 @@ def weather_body(times, value):
     return json.dumps(blocks)
 
 
-def responses(spark, *bodies, key=True):
-    if key:
-        return spark.createDataFrame(list(enumerate(bodies)), "batch_id bigint, body string")
-    return spark.createDataFrame([(b,) for b in bodies], "body string")
+@pytest.fixture
+def responses(tmp_path_factory):
+    def land(*bodies, key=True):
+        """One file per response, below its batch folder where there is one."""
+        root = tmp_path_factory.mktemp("landed")
+        for i, body in enumerate(bodies):
+            folder = root / f"batch_id={i}" if key else root
+            folder.mkdir(exist_ok=True)
+            (folder / f"r{i}.json").write_text(body)
+        return str(root)
+
+    return land
 
 
 def yield_body(*changes):
@@ -41,10 +49,10 @@ def yield_body(*changes):
 APRIL = ["2025-04-01", "2025-04-02", "2025-04-03"]
 
 
-def test_weather_ingestion(spark, centroids, tmp_path):
+def test_weather_ingestion(spark, centroids, responses, tmp_path):
     lake = Lake(str(tmp_path))
     report = plans.ingest_weather(
-        spark, responses(spark, weather_body(APRIL, 20.0)), centroids, lake,
+        spark, responses(weather_body(APRIL, 20.0)), centroids, lake,
         start=day("2025-04-01"), end=day("2025-04-02"), ingested_at=stamp(8),
     )
     assert (report.status, report.rows) == ("loaded", 4)
@@ -56,12 +64,12 @@ def test_weather_ingestion(spark, centroids, tmp_path):
     assert sorted(rows(bronze), key=str) == sorted(rows(raw), key=str)
 
 
-def test_weather_windows_replace_or_add(spark, centroids, tmp_path):
+def test_weather_windows_replace_or_add(spark, centroids, responses, tmp_path):
     lake = Lake(str(tmp_path))
 
     def run(times, replace, value=20.0):
         plans.ingest_weather(
-            spark, responses(spark, weather_body(times, value)), centroids, lake,
+            spark, responses(weather_body(times, value)), centroids, lake,
             replace=replace, ingested_at=stamp(8),
         )
         raw = read_table(spark, lake.raw("weather_daily"), RAW_WEATHER)
@@ -73,28 +81,27 @@ def test_weather_windows_replace_or_add(spark, centroids, tmp_path):
     assert run(APRIL[2:], "table") == [("2025-04-03", 20.0)]
 
 
-def test_weather_variables_left_out_are_null(spark, centroids, tmp_path):
+def test_weather_variables_left_out_are_null(spark, centroids, responses, tmp_path):
     lake = Lake(str(tmp_path))
     plans.ingest_weather(
-        spark, responses(spark, weather_body(APRIL, 20.0)), centroids, lake,
+        spark, responses(weather_body(APRIL, 20.0)), centroids, lake,
         variables=["temperature_2m_max"],
     )
     row = read_table(spark, lake.raw("weather_daily"), RAW_WEATHER).head()
     assert (row.temperature_2m_max, row.precipitation_sum) == (20.0, None)
 
 
-def test_batch_without_response_fails(spark, centroids, tmp_path):
+def test_batch_without_response_fails(spark, centroids, responses, tmp_path):
     with pytest.raises(ValueError, match="no response for batch 1"):
         plans.ingest_weather(
-            spark, responses(spark, weather_body(APRIL, 20.0)), centroids,
+            spark, responses(weather_body(APRIL, 20.0)), centroids,
             Lake(str(tmp_path)), batch_size=1,
         )
 
 
-def test_yield_ingestion_gate_and_skip(spark, tmp_path):
+def test_yield_ingestion_gate_and_skip(spark, responses, tmp_path):
     lake = Lake(str(tmp_path))
     landed = responses(
-        spark,
         yield_body({}, {"county_code": "003"}, {"year": "2024"}),
         yield_body({"commodity_desc": "SOYBEANS", "state_alpha": "IL"}),
         key=False,
@@ -114,15 +121,14 @@ def test_yield_ingestion_gate_and_skip(spark, tmp_path):
     assert raw.sparkSession.read.parquet(lake.raw("nass_yield")).count() == 4
 
 
-def test_backfill_builds_and_checks_every_model(spark, centroids, tmp_path):
+def test_backfill_builds_and_checks_every_model(spark, centroids, responses, tmp_path):
     lake = Lake(str(tmp_path))
 
     def run(times, value, **options):
         return plans.backfill(
             spark, lake,
-            weather_payloads=responses(spark, weather_body(times, value)),
+            weather_payloads=responses(weather_body(times, value)),
             yield_payloads=responses(
-                spark,
                 yield_body({}, {"county_code": "003", "Value": "(D)"},
                            {"county_code": "000", "agg_level_desc": "STATE"}),
                 key=False,
@@ -148,12 +154,19 @@ def test_backfill_builds_and_checks_every_model(spark, centroids, tmp_path):
     )
     assert rows(top) == [("Adair County", 201.0, 30.0), ("Adams County", None, 30.0)]
 
+    opened = plans.open_models(spark, lake)
+    assert {n: m.columns for n, m in opened.items()} == {n: m.columns for n, m in models.items()}
+    assert {n: m.count() for n, m in opened.items()} == {n: m.count() for n, m in models.items()}
+
     # A later window: raw holds it alone, the fact keeps the earlier days.
     _, models, _ = run(["2025-04-03", "2025-04-04"], 30.0, build_options={"store_staging": False})
     fact = read_table(spark, lake.mart("fact_weather_daily"), STAGED_WEATHER)
     assert sorted({(r.date.day, r.precipitation_sum) for r in fact.collect()}) == [
         (1, 20.0), (2, 20.0), (3, 30.0), (4, 30.0)]
     assert models["stg_weather_daily"].count() == 4
+    opened = plans.open_models(spark, lake, store_staging=False)
+    assert opened["stg_weather_daily"].count() == 4
+    assert opened["int_weather_growing_season"].count() == 2
 
 
 def test_failing_checks_are_reported(spark, centroids, raw_weather, raw_yields, tmp_path):

@@ -7,12 +7,12 @@ from agroweather.plans import build_county_seed
 from agroweather.sources import (
     attach_points,
     in_scope,
+    landed_keys,
     parse_weather_payloads,
     parse_yield_payloads,
     read_centroids,
     read_gazetteer,
     read_payloads,
-    unanswered_batches,
 )
 from tests.conftest import day, rows
 
@@ -119,7 +119,7 @@ def test_landed_files_meet_their_batches(spark, tmp_path):
         ("17001", 1, 12.0), ("17001", 2, 13.0), ("18001", 1, 14.0),
         ("18001", 2, 15.0), ("19001", 1, 10.0), ("19001", 2, 11.0),
     }
-    assert rows(unanswered_batches(batches, read.filter("batch_id = 0")).select("batch_id")) == [(1,)]
+    assert sorted(rows(landed_keys(spark, str(landed), "batch_id"))) == [(0,), (1,)]
 
 
 RECORD = {
