@@ -130,13 +130,14 @@ def yield_unit_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _landed_weather(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
-    """Point table, and the folder of landed JSON responses to its batches."""
+    """Stored point table, and the folder of landed JSON responses to its batches."""
     raw = views.raw_weather(spark, sf_dir)
-    points = payloads.weather_points(raw)
+    root = scratch_path(spark, "weather-payloads")
+    payloads.weather_points(raw).write.parquet(f"{root}/points")
+    points = spark.read.parquet(f"{root}/points")
     batches = op.point_batches(points, BATCH_SIZE)
-    path = f"{scratch_path(spark, 'weather-payloads')}/landed"
-    payloads.weather_payloads(raw, batches).write.partitionBy("batch_id").text(path)
-    return points, path
+    payloads.weather_payloads(raw, batches).write.partitionBy("batch_id").text(f"{root}/landed")
+    return points, f"{root}/landed"
 
 
 def parse_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
