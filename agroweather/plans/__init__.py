@@ -2,13 +2,13 @@ from agroweather.plans.analysis import state_yields, weather_yield_correlation
 from agroweather.plans.catalog import CHECKS, run_checks
 from agroweather.plans.features import season_features
 from agroweather.plans.ingestion import (
-    MAX_BROADCAST_BATCHES,
     LoadReport,
     build_county_seed,
     county_seed,
     ingest_weather,
     ingest_yield,
     ingest_yield_if_new,
+    request_batches,
 )
 from agroweather.plans.marts import (
     calendar,
@@ -30,7 +30,6 @@ from agroweather.plans.warehouse import (
 
 __all__ = [
     "CHECKS",
-    "MAX_BROADCAST_BATCHES",
     "LoadReport",
     "backfill",
     "build_county_seed",
@@ -48,6 +47,7 @@ __all__ = [
     "open_models",
     "refresh_weather_fact",
     "register_views",
+    "request_batches",
     "run_checks",
     "season_features",
     "stage_weather",

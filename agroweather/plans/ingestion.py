@@ -36,9 +36,9 @@ WINDOW_START = date(2025, 4, 1)
 WINDOW_END = date(2025, 10, 31)
 TARGET_YEAR = 2025
 
-# Point lists of this many requests (about 50 keys each) are shipped to every
-# executor, so that the response texts need not be shuffled to meet them.
-MAX_BROADCAST_BATCHES = 20_000
+# Up to this many point keys (about 20 MB) are shipped to every executor, so that
+# the response texts need not be shuffled to meet them.
+MAX_BROADCAST_POINTS = 1_000_000
 
 WEATHER_TABLE = "weather_daily"
 YIELD_TABLE = "nass_yield"
@@ -57,6 +57,13 @@ def _stamp(df: DataFrame, ingested_at: datetime | None) -> DataFrame:
     return df.withColumn(INGEST_STAMP, F.lit(ingested_at or datetime.now(timezone.utc)))
 
 
+def request_batches(
+    points: DataFrame, batch_size: int = BATCH_SIZE, max_broadcast: int = MAX_BROADCAST_POINTS
+) -> DataFrame:
+    """Point batches, marked for broadcast when they hold at most ``max_broadcast`` points."""
+    return broadcast_within(point_batches(points, batch_size), max_broadcast // batch_size)
+
+
 def ingest_weather(
     spark: SparkSession,
     payload_path: str,
@@ -77,7 +84,7 @@ def ingest_weather(
     raw. ``replace="partitions"`` keeps the days of other windows in raw.
     """
     variables = variables or WEATHER_VARIABLES
-    batches = broadcast_within(point_batches(points, batch_size), MAX_BROADCAST_BATCHES)
+    batches = request_batches(points, batch_size)
     answered = landed_keys(spark, payload_path, "batch_id")
     missing = batches.join(answered, "batch_id", "left_anti").select("batch_id").head(1)
     if missing:

@@ -42,7 +42,7 @@ from agroweather.schemas import (
     SEASON_FEATURES,
     STAGED_WEATHER,
 )
-from agroweather.sources.lake import Lake, read_table
+from agroweather.sources.lake import Lake, read_table, table_or_none
 
 MART_CLUSTERING = ["state_alpha", "commodity"]
 
@@ -88,7 +88,12 @@ def build_models(
         lake.mart("dim_date"),
     )
 
-    refresh_weather_fact(spark, staged_weather, lake.mart("fact_weather_daily"))
+    # An existing fact takes the newest days only. Read through the view they
+    # prune the raw partitions, and just these days are deduplicated.
+    fact_path = lake.mart("fact_weather_daily")
+    fact_exists = table_or_none(spark, fact_path, STAGED_WEATHER) is not None
+    fact_source = stage_weather(raw_weather) if fact_exists else staged_weather
+    refresh_weather_fact(spark, fact_source, fact_path)
 
     yield_path = lake.mart("fact_crop_yield")
     write_partitioned(crop_yield_fact(staged_yields), yield_path, "year", MART_CLUSTERING)
@@ -108,7 +113,7 @@ def build_models(
         "dim_county": counties,
         "dim_commodity": commodities,
         "dim_date": dates,
-        "fact_weather_daily": read_table(spark, lake.mart("fact_weather_daily"), STAGED_WEATHER),
+        "fact_weather_daily": read_table(spark, fact_path, STAGED_WEATHER),
         "fact_crop_yield": crop_yields,
         "weather_yield_analysis": read_table(spark, analysis_path, ANALYSIS),
     }

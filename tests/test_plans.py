@@ -11,7 +11,7 @@ from agroweather import operators as op
 from agroweather import plans
 from agroweather.functions import in_season
 from agroweather.schemas import RAW_WEATHER, STAGED_WEATHER
-from agroweather.sources import parse_weather_payloads, parse_yield_payloads, read_table
+from agroweather.sources import attach_points, parse_weather_payloads, parse_yield_payloads, read_table
 from tests.conftest import day, stamp
 
 
@@ -158,6 +158,22 @@ def test_orphan_check_shuffles_counted_keys(spark, tmp_path):
     assert "BroadcastHashJoin" in plan(op.orphan_keys(yields, "fips", counties))
 
 
+def test_point_lists_are_broadcast_only_when_counted_few(spark, tmp_path):
+    spark.range(300).select(
+        F.format_string("19%03d", F.col("id").cast("int")).alias("fips"),
+        F.lit(1.0).alias("lat"), F.lit(2.0).alias("lon"),
+    ).write.parquet(str(tmp_path / "points"))
+    points = spark.read.parquet(str(tmp_path / "points"))
+    bodies = spark.range(6).select(F.col("id").alias("batch_id"), F.lit("{}").alias("body"))
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1",
+                  spark__sql__adaptive__autoBroadcastJoinThreshold="-1"):
+        few = attach_points(bodies, plans.request_batches(points, 50, max_broadcast=300))
+        many = attach_points(bodies, plans.request_batches(points, 50, max_broadcast=250))
+        assert "BroadcastHashJoin [batch_id" in plan(few)
+        assert "SortMergeJoin [batch_id" in plan(many)
+        assert sorted(few.collect(), key=str) == sorted(many.collect(), key=str)
+
+
 def test_no_python_runs_in_the_workers(spark, raw_weather, raw_yields):
     batches = spark.createDataFrame([("19001", 1.0, 2.0)], "fips string, lat double, lon double")
     bodies = spark.createDataFrame([(["19001"], "{}")], "fips_list array<string>, body string")
