@@ -1,5 +1,5 @@
 from agroweather.plans.analysis import state_yields, weather_yield_correlation
-from agroweather.plans.catalog import CHECKS, run_checks
+from agroweather.plans.catalog import CHECKS, ChecksFailed, enforce_checks, run_checks
 from agroweather.plans.features import season_features
 from agroweather.plans.ingestion import (
     LoadReport,
@@ -30,6 +30,7 @@ from agroweather.plans.warehouse import (
 
 __all__ = [
     "CHECKS",
+    "ChecksFailed",
     "LoadReport",
     "backfill",
     "build_county_seed",
@@ -41,6 +42,7 @@ __all__ = [
     "county_seed",
     "crop_yield_fact",
     "date_dimension",
+    "enforce_checks",
     "ingest_weather",
     "ingest_yield",
     "ingest_yield_if_new",

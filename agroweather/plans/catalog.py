@@ -17,6 +17,10 @@ from agroweather.operators.checks import (
 )
 
 
+class ChecksFailed(RuntimeError):
+    """At least one declared check has failing rows."""
+
+
 @dataclass(frozen=True)
 class ModelChecks:
     """What has to hold for one model.
@@ -183,3 +187,11 @@ def run_checks(
     for name, declared in (checks or CHECKS).items():
         results += _model_results(name, declared, models.__getitem__)
     return reduce(DataFrame.unionByName, results)
+
+
+def enforce_checks(results: DataFrame) -> None:
+    """Raise with every failing check of :func:`run_checks` (one row per declared check)."""
+    failing = results.filter("failures > 0").orderBy("model", "check_name", "target").collect()
+    if failing:
+        lines = [f"{r.model}: {r.check_name}({r.target}) {r.failures}" for r in failing]
+        raise ChecksFailed("; ".join(lines))

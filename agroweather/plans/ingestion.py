@@ -80,8 +80,10 @@ def ingest_weather(
     """Landed weather responses to raw ``weather_daily``.
 
     ``<payload_path>/batch_id=<n>/`` holds the responses to point batch ``n``,
-    one JSON document per file; every batch has to be answered. Days outside [start, end] are not loaded. Variables left out are NULL in
-    raw. ``replace="partitions"`` keeps the days of other windows in raw.
+    one JSON document per file; every batch has to be answered. Days outside
+    [start, end] are not loaded, variables left out are NULL in raw.
+    ``replace="partitions"`` keeps the days of other windows in raw. A stamp
+    given as ``ingested_at`` has to carry its time zone.
     """
     variables = variables or WEATHER_VARIABLES
     batches = request_batches(points, batch_size)

@@ -147,6 +147,7 @@ def test_backfill_builds_and_checks_every_model(spark, centroids, responses, tmp
     }
     assert results.count() == 72
     assert rows(results.filter("failures > 0")) == []
+    plans.enforce_checks(results)
 
     plans.register_views(models)
     top = spark.sql(
@@ -177,7 +178,10 @@ def test_failing_checks_are_reported(spark, centroids, raw_weather, raw_yields,
         centroids,
         Lake(str(tmp_path)),
     )
-    failing = plans.run_checks(models).filter("failures > 0").collect()
+    results = plans.run_checks(models).cache()
+    with pytest.raises(plans.ChecksFailed, match=r"accepted_values\(commodity\) 1"):
+        plans.enforce_checks(results)
+    failing = results.filter("failures > 0").collect()
     got = {(r.model, r.check_name, r.target): r.failures for r in failing}
     assert got["stg_weather_daily", "not_null", "temperature_2m_max"] == 1
     assert got["int_weather_growing_season", "not_null", "gdd"] == 1
