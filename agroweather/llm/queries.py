@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agroweather.llm import bpe, decontaminate, langid, line_dedup, quality, secrets, url_filter
+from agroweather.llm import (
+    bpe,
+    decontaminate,
+    embedding_join,
+    langid,
+    line_dedup,
+    ngram_join,
+    quality,
+    secrets,
+    url_filter,
+)
 from agroweather.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -30,6 +40,14 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs, vocabulary_path(), with_ids=False)
 
 
+def op4_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.link_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify_quality(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -54,6 +72,8 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_language_id": op2_language_id,
     "op3_bpe": op3_bpe,
+    "op4_embedding_join": op4_embedding_join,
+    "op5_ngram_join": op5_ngram_join,
     "op7_quality": op7_quality,
     "op8_url_filter": op8_url_filter,
     "op9_decontamination": op9_decontamination,
