@@ -31,7 +31,7 @@ from agroweather.llm.common import fold, texts
 
 FOLDS, HELD_OUT = 4, 2
 PASSAGE_BYTES = 512
-SAMPLE_PER_LABEL = 1200
+SAMPLE_PER_LABEL = 2000
 HIDDEN, ATTENTION = 16, 8
 EPOCHS, BATCH, RATE, DECAY = 25, 32, 0.01, 1e-4
 THRESHOLD = 0.7
@@ -68,11 +68,13 @@ def byte_classes() -> np.ndarray:
 CLASSES = byte_classes()
 N_CLASSES = int(CLASSES.max()) + 1
 PAIRS = N_CLASSES * N_CLASSES
-FEATURES = 256 + PAIRS
+#: Besides the counts: repeated stretches of 8 bytes, and the length.
+FEATURES = 256 + PAIRS + 2
+STRETCH = 8
 
 
 def passage_counts(data: bytes, first: int, count: int) -> np.ndarray:
-    """Counts of bytes and of neighbouring byte classes in passages ``first``.. (a row each)."""
+    """Counts of bytes, neighbouring byte classes and repeated stretches in passages ``first``.. (a row each)."""
     part = np.frombuffer(data, np.uint8)[first * PASSAGE_BYTES : (first + count) * PASSAGE_BYTES]
     rows = max(1, -(-len(part) // PASSAGE_BYTES))
     owner = np.arange(len(part)) // PASSAGE_BYTES
@@ -81,14 +83,27 @@ def passage_counts(data: bytes, first: int, count: int) -> np.ndarray:
     out[:, :256] = np.bincount(owner * 256 + part, minlength=rows * 256).reshape(rows, 256)
     same = owner[1:] == owner[:-1]
     codes = (owner[1:] * PAIRS + kinds[:-1] * N_CLASSES + kinds[1:])[same]
-    out[:, 256:] = np.bincount(codes, minlength=rows * PAIRS).reshape(rows, PAIRS)
+    out[:, 256:-2] = np.bincount(codes, minlength=rows * PAIRS).reshape(rows, PAIRS)
+    # a stretch is its bytes' hash with the passage's number in the upper bits
+    places = max(0, len(part) - STRETCH + 1)
+    stretches = np.zeros(places, np.uint64)
+    for offset in range(STRETCH):
+        stretches = stretches * np.uint64(1099511628211) + part[offset : offset + places]
+    stretches = (owner[:places].astype(np.uint64) << np.uint64(48)) | (stretches >> np.uint64(16))
+    stretches.sort()
+    again = stretches[1:][stretches[1:] == stretches[:-1]] >> np.uint64(48)
+    out[:, -2] = np.bincount(again.astype(np.int64), minlength=rows)
+    out[:, -1] = np.bincount(owner, minlength=rows)
     return out
 
 
 def scaled(counts: np.ndarray) -> np.ndarray:
+    """Logarithms of the counts, those of bytes and pairs at unit length."""
     values = np.log1p(counts.astype(np.float32))
-    norm = np.sqrt((values * values).sum(axis=1, keepdims=True))
-    return values / np.maximum(norm, 1e-6)
+    norm = np.sqrt((values[:, :-2] ** 2).sum(axis=1, keepdims=True))
+    values[:, :-2] /= np.maximum(norm, 1e-6)
+    values[:, -2:] /= 6
+    return values
 
 
 class GatedAttention:
