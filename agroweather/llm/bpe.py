@@ -4,7 +4,8 @@ Method: every word is a doubly linked list of symbols and a priority queue of
 merge ranks; queue entries whose symbols have changed meanwhile are stale and
 skipped. Decoding concatenates the vocabulary strings of the ids. Rows are
 independent, so the job is one map without a shuffle; each Python worker keeps
-a bounded cache of encoded words.
+a bounded cache of encoded words in two generations, so that frequent words
+outlive the many that occur once.
 
 Defined results: a NULL text is the empty text, which has no ids and decodes to
 the empty string; a NULL id stays NULL; repeated rows give repeated rows; an
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 
 from agroweather.llm.common import sha256
 
-CACHED_WORDS = 300_000
+CACHED_WORDS = 250_000  # of one generation
 # What the public tokenizers library takes as white space.
 SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PYTHON_ONLY_SPACE = regex.compile("[\\x1c-\\x1f]")
@@ -71,6 +72,7 @@ class Bpe:
         self.pieces = regex.compile(split["pattern"]["Regex"].replace("\\s", SPACE))
         self.chunks = regex.compile(f"[^{SPACE}]+")
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merge_word(self, word: bytes) -> list[int]:
         """Ids of one word after all merges, lowest rank first, leftmost among equals."""
@@ -112,9 +114,9 @@ class Bpe:
 
     def encode(self, text: str) -> bytes:
         parts = self.special_split.split(text) if "<|" in text else [text]
-        cache, out = self.cache, []
-        if len(cache) > CACHED_WORDS:
-            cache.clear()
+        if len(self.cache) > CACHED_WORDS:
+            self.cache, self.older = {}, self.cache
+        cache, older, out = self.cache, self.older, []
         for part in parts:
             if part in self.special:
                 out.append(np.array([self.special[part]], dtype="<u4").tobytes())
@@ -123,7 +125,9 @@ class Bpe:
             for chunk in part.split() if plain else self.chunks.findall(part):
                 ids = cache.get(chunk)
                 if ids is None:
-                    ids = self.encode_chunk(chunk)
+                    ids = older.get(chunk)
+                    if ids is None:
+                        ids = self.encode_chunk(chunk)
                     if len(chunk) <= 64:
                         cache[chunk] = ids
                 out.append(ids)
