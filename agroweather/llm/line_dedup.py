@@ -70,6 +70,8 @@ def dropped_runs(runs: DataFrame) -> DataFrame:
         .where(F.col("documents") >= LEAST_DOCUMENTS)
         .select("h1", "h2", "first_doc")
     )
+    # stored, so that the join plans both its sides by size and can split a frequent line
+    firsts = stored(firsts, "line-firsts")
     dropped = runs.join(firsts, ["h1", "h2"]).where(F.col("doc") < F.col("first_doc"))
     gathered = dropped.groupBy("doc", "body").agg(F.array_sort(F.collect_set("pos")).alias("gone"))
     starts = F.concat(F.array(F.lit(0)), F.transform("gone", lambda p: p + 1))
