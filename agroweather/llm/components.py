@@ -28,6 +28,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         # large star: neighbours above a node go to its smallest neighbour or itself
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
+        least = stored(least, "components")  # so that the join can split a hub
         large = (
             both.where("b > a")
             .join(least, "a")
@@ -37,6 +38,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         large = stored(large, "components")
         # small star: a node and its smaller neighbours go to the smallest of them
         low = large.groupBy("a").agg(F.min("b").alias("least"))
+        low = stored(low, "components")
         small = (
             large.join(low, "a")
             .select(F.explode(F.array("a", "b")).alias("a"), F.col("least").alias("b"))

@@ -549,6 +549,7 @@ def shingle_components(docs: DataFrame) -> DataFrame:
     rest = classes.join(named, "cid", "left").select(
         "cid", F.coalesce("component_id", "low").alias("component_id")
     )
+    rest = stored(rest, "class-components")  # so that the join can split a class of many copies
     return (
         rows.select("doc_id", "body", "cid", "n")
         .join(rest, "cid", "left")
