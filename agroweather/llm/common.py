@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,6 +46,21 @@ def lower_ascii(column: Column) -> Column:
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+SLICE_BYTES = 4 << 20
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches cut to about ``SLICE_BYTES`` each, one row at least.
+
+    A worker turns one slice at a time into Python objects, so its memory does
+    not grow with the length of the texts beyond the longest one.
+    """
+    for batch in batches:
+        rows = max(1, int(batch.num_rows * SLICE_BYTES / max(batch.nbytes, SLICE_BYTES)))
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def texts(batch: pa.RecordBatch, index: int) -> list[str]:
     """A text column as strings, NULL as the empty string."""
     return [value or "" for value in batch.column(index).to_pylist()]

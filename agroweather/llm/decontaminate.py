@@ -19,7 +19,7 @@ rows; an empty table gives an empty table, an empty benchmark no hits.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agroweather.llm.common import sha256, stored
+from agroweather.llm.common import sha256, slices, stored
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
@@ -191,17 +191,16 @@ def item_blocks(
         yield block
 
 
-HITS = T.StructType(
-    [
-        T.StructField("spans", T.ArrayType(T.ArrayType(T.IntegerType()))),
-        T.StructField("items", T.ArrayType(T.StringType())),
-    ]
-)
+SPANS = T.ArrayType(T.ArrayType(T.IntegerType()))
+ITEMS = T.ArrayType(T.StringType())
+Finish = Callable[[pa.RecordBatch, list, list], pa.RecordBatch]
 
 
 def find_hits(
     docs: DataFrame,
     benchmark: DataFrame,
+    finish: Finish,
+    schema: T.StructType | str,
     *,
     text: str = "text",
     item_id: str = "item_id",
@@ -209,62 +208,72 @@ def find_hits(
     window: int = WINDOW,
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """``docs`` with columns ``__spans`` (joined word spans hit) and ``__items`` (ids as strings).
+    """What ``finish`` makes of each batch of ``docs``, its joined hit spans and the items found.
 
-    One pass over the documents per block of items; between two passes the
-    rows are stored, so only one block is held at a time.
+    Spans count words, items are ids as sorted strings. One pass over the
+    documents per block of items, ``finish`` in the last; between two passes the
+    rows are stored with what was found, so only one block is held at a time.
     """
-    spark = docs.sparkSession
-    empty = F.array().cast(HITS["spans"].dataType), F.array().cast(HITS["items"].dataType)
-    out = docs.withColumn("__spans", empty[0]).withColumn("__items", empty[1])
-    for number, block in enumerate(item_blocks(benchmark, item_id, item_text, block_words)):
-        shared = spark.sparkContext.broadcast(SuffixAutomaton(block, window))
-        if number:
-            out = stored(out, "decontaminate")
-        place = {name: index for index, name in enumerate(out.columns)}
-
-        def run(batches, shared=shared, place=place):
-            automaton = shared.value
-            for batch in batches:
-                spans = batch.column(place["__spans"]).to_pylist()
-                items = batch.column(place["__items"]).to_pylist()
-                for row, value in enumerate(batch.column(place[text]).to_pylist()):
+    spark, names = docs.sparkSession, docs.columns
+    place = names.index(text)
+    out = docs.withColumn("__spans", F.array().cast(SPANS)).withColumn("__items", F.array().cast(ITEMS))
+    between = out.schema
+
+    def passing(automaton_of: Callable[[], SuffixAutomaton], last: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            automaton = automaton_of()
+            for batch in slices(batches):
+                spans, items = batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist()
+                for row, value in enumerate(batch.column(place).to_pylist()):
                     found, holders = automaton.find(words_of(value))
                     if found:
                         spans[row] = joined_spans([*map(tuple, spans[row]), *found])
                         ids = {str(item) for item in holders if item is not None}
                         items[row] = sorted(ids.union(items[row]))
-                columns = list(batch.columns)
-                columns[place["__spans"]] = pa.array(spans, pa.list_(pa.list_(pa.int32())))
-                columns[place["__items"]] = pa.array(items, pa.list_(pa.string()))
-                yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
-
-        out = out.mapInArrow(run, out.schema)
-    return out
+                own = pa.RecordBatch.from_arrays(batch.columns[: len(names)], names=names)
+                if last:
+                    yield finish(own, spans, items)
+                    continue
+                found_columns = [
+                    pa.array(spans, pa.list_(pa.list_(pa.int32()))),
+                    pa.array(items, pa.list_(pa.string())),
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [*own.columns, *found_columns], names=[*names, "__spans", "__items"]
+                )
+
+        return run
+
+    blocks = item_blocks(benchmark, item_id, item_text, block_words)
+    block = next(blocks, [])
+    while True:
+        following = next(blocks, None)
+        shared = spark.sparkContext.broadcast(SuffixAutomaton(block, window))
+        run = passing(lambda shared=shared: shared.value, following is None)
+        if following is None:
+            return out.mapInArrow(run, schema)
+        out, block = stored(out.mapInArrow(run, between), "decontaminate"), following
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Per row of ``docs`` (``doc_id``, ``text``) its words, hit words and items found."""
-    hits = find_hits(docs.select(F.col("doc_id").cast("long"), "text"), benchmark, **options)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, values, spans, items = (column for column in batch.columns)
-            hit = [sum(end - start for start, end in row) for row in spans.to_pylist()]
-            found = items.to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    ids,
-                    pa.array([len(words_of(value)) for value in values.to_pylist()], pa.int64()),
-                    pa.array(hit, pa.int64()),
-                    pa.array([len(row) for row in found], pa.int64()),
-                    pa.array([sha256(",".join(row).encode()) for row in found], pa.string()),
-                    pa.array([n > 0 for n in hit], pa.bool_()),
-                ],
-                names=REPORT.replace(",", "").split()[::2],
-            )
-
-    return hits.mapInArrow(run, REPORT)
+
+    def finish(batch: pa.RecordBatch, spans: list, items: list) -> pa.RecordBatch:
+        hit = [sum(end - start for start, end in row) for row in spans]
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column(0),
+                pa.array([len(words_of(value)) for value in batch.column(1).to_pylist()], pa.int64()),
+                pa.array(hit, pa.int64()),
+                pa.array([len(row) for row in items], pa.int64()),
+                pa.array([sha256(",".join(row).encode()) for row in items], pa.string()),
+                pa.array([n > 0 for n in hit], pa.bool_()),
+            ],
+            names=REPORT.replace(",", "").split()[::2],
+        )
+
+    chosen = docs.select(F.col("doc_id").cast("long"), "text")
+    return find_hits(chosen, benchmark, finish, REPORT, **options)
 
 
 def cut_words(text: str, spans: list[list[int]]) -> str:
@@ -291,22 +300,20 @@ def decontaminate(
     Documents of which hits cover ``coverage_limit`` of the words or more go as
     a whole. Documents without hits are left as they are.
     """
-    hits = find_hits(docs, benchmark, text=text, **options)
-    place = {name: index for index, name in enumerate(hits.columns)}
-    names = docs.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = batch.column(place[text]).to_pylist()
-            keep = []
-            for row, spans in enumerate(batch.column(place["__spans"]).to_pylist()):
-                hit = sum(end - start for start, end in spans)
-                keep.append(not hit or hit < coverage_limit * len(words_of(values[row])))
-                if hit:
-                    values[row] = cut_words(values[row], spans)
-            columns = list(batch.columns[: len(names)])
-            columns[place[text]] = pa.array(values, pa.string())
-            cut = pa.RecordBatch.from_arrays(columns, names=names)
-            yield cut.filter(pa.array(keep, pa.bool_()))
-
-    return hits.mapInArrow(run, docs.schema)
+    place = docs.columns.index(text)
+
+    def finish(batch: pa.RecordBatch, spans: list, items: list) -> pa.RecordBatch:
+        values = batch.column(place).to_pylist()
+        keep = []
+        for row, own in enumerate(spans):
+            hit = sum(end - start for start, end in own)
+            keep.append(not hit or hit < coverage_limit * len(words_of(values[row])))
+            if hit:
+                values[row] = cut_words(values[row], own)
+        columns = list(batch.columns)
+        columns[place] = pa.array(values, pa.string())
+        return pa.RecordBatch.from_arrays(columns, names=batch.schema.names).filter(
+            pa.array(keep, pa.bool_())
+        )
+
+    return find_hits(docs, benchmark, finish, docs.schema, text=text, **options)

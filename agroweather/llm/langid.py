@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agroweather.llm.common import fold, in_fold
+from agroweather.llm.common import fold, in_fold, slices
 
 FOLDS, HELD_OUT = 3, 1
 BUCKETS = 1 << 15
@@ -78,7 +78,7 @@ def document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, seen, rows = letter_table(), np.zeros(BUCKETS, np.int64), 0
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 grams = gram_counts(text, letters)
                 if grams:
@@ -183,7 +183,7 @@ def identify_language(docs: DataFrame, *, per_language: int = SAMPLE_PER_LANGUAG
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = letter_table()
         idf, langs, w, bias, temperature = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             ids, names, scores = batch.column(0), [], []
             for text in batch.column(1).to_pylist():
                 grams = gram_counts(text, letters) if text and langs else None

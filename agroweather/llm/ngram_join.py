@@ -45,15 +45,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from agroweather.llm.common import stored
+from agroweather.llm.common import slices, stored
 from agroweather.llm.components import connected_components
 
 SHINGLE_WORDS = 5
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 BUCKETS = 1 << 20
 BLOCK_OF_BUCKETS = 1 << 12
 LIST_PART = 20_000  # classes of one list in one task
-BLOCK_PART = 4_000_000  # shingles of one block in one task
+BLOCK_PART = 1_500_000  # shingles of one block in one task
 MEMBER_COST = 500  # what a set counts besides its shingles
 SALT_FROM = 100_000  # bucket count per salt
 
@@ -136,7 +136,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, counts = Shingler(), np.zeros(BUCKETS, np.int32)
-        for batch in batches:
+        for batch in slices(batches):
             cids, sizes, bits, found = [], [], [], [np.empty(0, np.int64)]
             for text in batch.column(2).to_pylist():
                 shingles = shingler(text)
@@ -216,7 +216,7 @@ def prefix_rows(docs: DataFrame, counts: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, counts, seen = Shingler(), shared.value, set()
-        for batch in batches:
+        for batch in slices(batches):
             tokens, salts, owners = [], [], []
             for text in batch.column(0).to_pylist():
                 shingles = shingler(text)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agroweather.llm.common import fold, texts
+from agroweather.llm.common import fold, slices, texts
 
 FOLDS, HELD_OUT = 4, 2
 PASSAGE_BYTES = 512
@@ -212,7 +212,7 @@ def training_bags(docs: DataFrame, labels: DataFrame, per_label: int) -> tuple[l
         return [], {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for label, text, seq in zip(
                 batch.column(0).to_pylist(), texts(batch, 1), batch.column(2).to_pylist(), strict=True
             ):
@@ -291,7 +291,7 @@ def with_quality(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             if isinstance(model, float):
                 scores = [model] * batch.num_rows
             else:

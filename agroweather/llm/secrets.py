@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from agroweather.llm.common import sha256, texts
+from agroweather.llm.common import sha256, slices, texts
 
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN = re.compile(
@@ -125,7 +125,7 @@ def scan_secrets(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
     """Per row the number of spans of each kind, a digest of the base spans, and all spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows: list[list] = [[] for _ in range(6)]
             for value in texts(batch, 1):
                 base = base_spans(value)
