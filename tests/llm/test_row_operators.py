@@ -1,0 +1,265 @@
+"""Operators that map rows, against brute force and the tokenizers library."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from agroweather.llm import bpe, decontaminate, langid, quality, secrets
+from tests.llm.conftest import CASES, WORDS, prose, rows_of
+
+
+def sha(data: bytes) -> str:
+    return hashlib.sha256(data).hexdigest()
+
+
+def same_rows(df, expected):
+    assert Counter(map(repr, rows_of(df))) == Counter(map(repr, expected))
+
+
+# ---- BPE
+
+
+def test_bpe_matches_the_library(docs, vocabulary):
+    library = Tokenizer.from_file(vocabulary)
+    expected = []
+    for doc_id, text, *_ in CASES:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        expected.append((doc_id, len(ids), sha(np.array(ids, "<u4").tobytes()), sha(decoded.encode())))
+    same_rows(bpe.encode_documents(docs, vocabulary, with_ids=False), expected)
+
+
+def test_bpe_ids_and_empty_table(docs, nothing, vocabulary):
+    ids = {row.doc_id: row.ids for row in bpe.encode_documents(docs, vocabulary).collect()}
+    assert ids[6] == [] and 49407 in ids[13]
+    assert bpe.encode_documents(nothing, vocabulary).count() == 0
+
+
+def test_bpe_on_random_text(vocabulary):
+    library, own, draw = Tokenizer.from_file(vocabulary), bpe.Bpe(vocabulary), random.Random(4)
+    letters = "abcdeABC' \n\t.,!?-0123456789éßÀçñİσΣ中文́  "
+    for _ in range(400):
+        text = "".join(draw.choice(letters) for _ in range(draw.randrange(30)))
+        ids = np.frombuffer(own.encode(text), "<u4").tolist()
+        assert ids == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_bpe_cache_generations(vocabulary, monkeypatch):
+    own, text = bpe.Bpe(vocabulary), prose(1, 300)
+    once = own.encode(text)
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 5)
+    assert own.encode(text) == once == own.encode(text)
+
+
+# ---- secrets
+
+
+def test_base_spans(docs, nothing):
+    found = {row.doc_id: row for row in secrets.scan_secrets(docs).collect()}
+    text = next(case[1] for case in CASES if case[0] == 14)
+    spans = [
+        (kind, *re.search(form, text).span())
+        for kind, form in (
+            ("assign", r'password = "hunter2hunter2'),
+            ("access", r"AKIA[A-Z]+"),
+            ("hex", r"(0f)+"),
+        )
+    ]
+    joined = ",".join(f"{k}:{s}:{e}" for k, s, e in sorted(spans, key=lambda x: x[1]))
+    assert (found[14].n_assign, found[14].n_access, found[14].n_hex) == (1, 1, 1)
+    assert found[14].base_sha256 == sha(joined.encode())
+    assert found[6].spans == "" and found[6].base_sha256 == sha(b"")
+    assert secrets.scan_secrets(nothing).count() == 0
+
+
+def test_failing_assignments_are_consumed_and_dropped():
+    assert secrets.base_spans("password: token: abcdefghijk") == []
+    assert secrets.base_spans("TOKEN=abcdefgh é api_key: 'x'") == [("assign", 0, 14)]
+    assert secrets.base_spans("paſſword = abcdefghij") == []
+
+
+def test_incremental_entropy_equals_recount():
+    draw = random.Random(9)
+    for length in (20, 35, 80):
+        text = "".join(draw.choice("abcdefgh01234567AB") for _ in range(length))
+        windows = [text[i : i + secrets.WINDOW] for i in range(length - secrets.WINDOW + 1)]
+        hot = set()
+        for place, window in enumerate(windows):
+            shares = [n / secrets.WINDOW for n in Counter(window).values()]
+            if -sum(p * math.log2(p) for p in shares) >= 3.3:
+                hot |= set(range(place, place + secrets.WINDOW))
+        got = {i for s, e in secrets.entropy_spans(text, 3.3) for i in range(s, e)}
+        assert got == hot
+
+
+def test_added_spans_and_allow_list():
+    secret = "Zk3Qv9Lx2Tn7Wb5Rm8Yp4"
+    assert secrets.added_spans(f"see {secret} here", []) == [("entropy", 4, 25)]
+    assert secrets.added_spans(f"see {secret} here", [("assign", 0, 30)]) == []
+    for plain in ("123e4567-e89b-12d3-a456-426614174000", "path/to/some/ordinary/file", "a" * 50, "1234567890" * 4):
+        assert secrets.added_spans(plain, []) == []
+
+
+# ---- decontamination
+
+
+def brute_hits(words, items, window=10):
+    hit, found = set(), set()
+    for item, own in items:
+        size = min(window, len(own))
+        windows = {tuple(own[i : i + size]) for i in range(len(own) - size + 1)} if size else set()
+        for i in range(len(words) - size + 1):
+            if size and tuple(words[i : i + size]) in windows:
+                hit |= set(range(i, i + size))
+                found.add(item)
+    return hit, found
+
+
+@pytest.fixture(scope="module")
+def benchmark_items():
+    long = prose(3, 50).split()
+    return [
+        (1, " ".join(long[5:30])),
+        (2, "Stonea, riverb"),
+        (3, None),
+        (4, ""),
+        (10, " ".join(long[20:34])),
+        (None, " ".join(long[0:11])),
+        (1, " ".join(long[5:30])),
+        (11, " ".join([WORDS[0] + "a"] * 12)),
+    ]
+
+
+@pytest.mark.parametrize("block_words", [200_000, 20])
+def test_decontamination_report(spark, docs, benchmark_items, block_words):
+    benchmark = spark.createDataFrame(benchmark_items, "item_id long, text string")
+    items = [(i, decontaminate.words_of(t)) for i, t in benchmark_items]
+    expected = []
+    for doc_id, text, *_ in CASES:
+        words = decontaminate.words_of(text)
+        hit, found = brute_hits(words, items)
+        ids = sorted(str(i) for i in found if i is not None)
+        expected.append((doc_id, len(words), len(hit), len(ids), sha(",".join(ids).encode()), bool(hit)))
+    same_rows(decontaminate.contamination_report(docs, benchmark, block_words=block_words), expected)
+
+
+def test_suffix_automaton_on_small_alphabet():
+    draw = random.Random(2)
+    for _ in range(60):
+        items = [(i, [draw.choice([b"a", b"b", b"c"]) for _ in range(draw.randrange(9))]) for i in range(5)]
+        automaton = decontaminate.SuffixAutomaton(items, 4)
+        words = [draw.choice([b"a", b"b", b"c", b"d"]) for _ in range(40)]
+        spans, found = automaton.find(words)
+        got = {i for s, e in decontaminate.joined_spans(spans) for i in range(s, e)}
+        assert (got, found) == brute_hits(words, items, 4)
+
+
+def test_decontaminate_cuts_or_drops(spark, docs, nothing):
+    words = prose(1, 40).split()
+    benchmark = spark.createDataFrame(
+        [(1, " ".join(words[10:22])), (2, prose(3, 50))], "item_id long, text string"
+    )
+    kept = {row.doc_id: row for row in decontaminate.decontaminate(docs, benchmark).collect()}
+    assert not {3, 4, 5} & kept.keys()
+    assert words[9] in kept[1].text and words[22] in kept[1].text
+    assert " ".join(words[10:22]) not in kept[1].text
+    assert kept[2].text == CASES[1][1] and kept[2].h1 == "kept" and kept[6].text is None
+    empty = benchmark.where("false")
+    assert decontaminate.decontaminate(docs, empty).count() == len(CASES)
+    assert decontaminate.decontaminate(nothing, benchmark).count() == 0
+
+
+# ---- language identification
+
+
+def test_language_held_out_accuracy(spark):
+    samples = {
+        "en": "the house and the garden were quiet while they read with him",
+        "de": "der garten und das haus waren ruhig als sie nicht mit ihm lasen",
+        "fr": "la maison et le jardin étaient calmes pendant que nous lisions",
+    }
+    draw, rows = random.Random(3), []
+    for i in range(180):
+        lang = list(samples)[i % 3]
+        words = samples[lang].split()
+        rows.append((i, " ".join(draw.choice(words) for _ in range(12)), lang))
+    rows += [(500, None, "en"), (501, "123 !!", "de"), (None, "the garden", None), (502, "the house", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {row.doc_id: row for row in langid.identify_language(docs, per_language=30).collect()}
+    assert len(got) == len(rows)
+    held = [i for i in range(180) if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert all(got[i].held_out == (i in held) for i in range(180))
+    assert np.mean([got[i].lang_pred == rows[i][2] for i in held]) > 0.97
+    assert got[500].lang_pred == got[501].lang_pred == "und"
+    assert not got[None].held_out and all(0 <= row.score <= 1 for row in got.values())
+
+
+def test_language_without_training_rows(docs, nothing):
+    unknown = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {row.lang_pred for row in langid.identify_language(unknown).collect()} == {"und"}
+    assert langid.identify_language(nothing).count() == 0
+
+
+# ---- quality
+
+
+def test_quality_held_out(spark):
+    rows, marks = [], []
+    for i in range(240):
+        good = i % 3 > 0
+        text = prose(i, 40 + i) if good else "".join(w + "***" for w in prose(i, 60 + i).upper().split())
+        rows.append((i, text))
+        marks.append((i, int(good), 0))
+    docs = spark.createDataFrame([*rows, (900, None), (None, "words here")], "doc_id long, text string")
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    got = {row.doc_id: row for row in quality.classify_quality(docs, labels, per_label=60).collect()}
+    held = [i for i in range(240) if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert all(got[i].held_out == (i in held) for i in range(240))
+    assert np.mean([got[i].predicted == marks[i][1] for i in held]) > 0.97
+    assert 0 <= got[900].score <= 1 and not got[None].held_out
+    assert all(row.predicted == int(row.score >= 0.7) for row in got.values())
+
+
+def test_quality_without_labels(docs, labels, nothing):
+    scores = [row.score for row in quality.classify_quality(docs, labels.where("false")).collect()]
+    assert scores == [0.5] * len(CASES)
+    assert quality.classify_quality(nothing, labels).count() == 0
+    kept = quality.keep_quality(docs, labels)
+    assert kept.columns == docs.columns
+
+
+def test_attention_gradient_lowers_the_loss():
+    draw = np.random.default_rng(0)
+    network = quality.GatedAttention()
+    x = draw.random((9, quality.FEATURES)).astype(np.float32)
+    starts, y, weight = np.array([0, 4]), np.array([0.0, 1.0]), np.ones(2)
+
+    def loss():
+        out = []
+        for part, target in ((x[:4], 0), (x[4:], 1)):
+            h, s, _ = network.passages(part)
+            a = np.exp(s - s.max())
+            m = (a / a.sum()) @ h
+            p = 1 / (1 + np.exp(-(m @ network.p["w"] + network.p["b"][0])))
+            out.append(-np.log(p if target else 1 - p))
+        return sum(out)
+
+    before = loss()
+    for _ in range(20):
+        network.train(x, starts, y, weight)
+    assert loss() < before / 2
+
+
+def test_slices_of_a_text_score_alike(monkeypatch):
+    network, data = quality.GatedAttention(), prose(5, 2000).encode()
+    whole = network.score(data)
+    monkeypatch.setattr(quality, "SLICE", 3)
+    assert network.score(data) == pytest.approx(whole, rel=1e-6)
