@@ -15,7 +15,6 @@ from agroweather.operators.gate import (
     record_counts,
     work_list,
 )
-from agroweather.operators.joins import broadcast_within
 from agroweather.operators.probes import high_watermark, year_is_loaded, year_probe
 from agroweather.operators.sinks import (
     RequiredFieldError,
@@ -29,7 +28,6 @@ from agroweather.operators.sinks import (
 __all__ = [
     "RecordLimitExceeded",
     "RequiredFieldError",
-    "broadcast_within",
     "duplicate_keys",
     "enforce_record_limit",
     "freshness",

@@ -13,7 +13,8 @@ def _with_position(points: DataFrame) -> DataFrame:
 
     One global row number would sort the whole table in one task. Instead rows
     are counted per county code; running sums within a state (up to 1,000 codes)
-    and over the states (up to 100) give every code its first position.
+    and over the states (two characters) give every code its first position.
+    Points without a code come first.
     """
     per_code = (
         points.groupBy("fips")
@@ -31,14 +32,17 @@ def _with_position(points: DataFrame) -> DataFrame:
     )
     code_starts = (
         per_code.withColumn("in_state", F.coalesce(F.sum("n").over(in_state), F.lit(0)))
-        .join(state_starts, "state")
-        .select("fips", (F.col("state_start") + F.col("in_state")).alias("start"))
+        .join(
+            state_starts.withColumnRenamed("state", "of_state"),
+            F.col("state").eqNullSafe(F.col("of_state")),
+        )
+        .select(F.col("fips").alias("code"), (F.col("state_start") + F.col("in_state")).alias("start"))
     )
     in_code = Window.partitionBy("fips").orderBy("lat", "lon")
     return (
         points.select("fips", "lat", "lon")
         .withColumn("rank", F.row_number().over(in_code) - 1)
-        .join(code_starts, "fips")
+        .join(code_starts, F.col("fips").eqNullSafe(F.col("code")))
         .select("fips", "lat", "lon", (F.col("start") + F.col("rank")).alias("position"))
     )
 

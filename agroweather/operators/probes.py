@@ -20,7 +20,7 @@ def year_probe(raw_yields: DataFrame, year: int) -> DataFrame:
 
 
 def year_is_loaded(spark: SparkSession, raw_path: str, year: int) -> bool:
-    """Does the raw yield table hold the year? A table not written yet holds none."""
+    """Does the raw yield table hold the year? A table without a finished write holds none."""
     raw = table_or_none(spark, raw_path, RAW_YIELD)
     return raw is not None and year_probe(raw, year).head().loaded
 

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from agroweather.operators.probes import high_watermark
 from agroweather.schemas import required_columns
-from agroweather.sources.lake import read_table, table_or_none
+from agroweather.sources.lake import is_committed, read_table, table_or_none
 
 REPLACE_TABLE = "table"
 REPLACE_PARTITIONS = "partitions"
@@ -33,7 +33,8 @@ def write_partitioned(
     """Hive-partitioned Parquet, rows within a file ordered by ``cluster_by``.
 
     ``replace="table"`` replaces everything, also with an empty frame;
-    ``replace="partitions"`` replaces exactly the partitions present in ``df``.
+    ``replace="partitions"`` replaces exactly the partitions present in ``df``,
+    unless no write of the table was finished before.
 
     Rebalancing brings a partition value together in one file where it is small
     and lets adaptive execution split it over tasks where it is large, so that
@@ -42,6 +43,8 @@ def write_partitioned(
     overwrite mode is set on the writer because the session default would
     decide otherwise.
     """
+    if not is_committed(df.sparkSession, path):
+        replace = REPLACE_TABLE  # nothing finished is there to keep
     placed = df.hint("rebalance", F.col(partition_by)) if rebalance else df
     (
         placed.sortWithinPartitions(partition_by, *cluster_by)
@@ -112,7 +115,8 @@ def refresh_from_watermark(
     The first build takes everything. Later builds recompute the rows at or
     after the greatest ``watermark`` in the table and replace exactly the
     partitions present in that result; earlier partitions are never touched. A
-    table that exists but is empty has no greatest value and stays empty.
+    finished but empty table has no greatest value and stays empty; what an
+    interrupted first build left behind is built anew.
 
     The greatest value is read to the driver first (one value), so the write
     does not read the table it replaces and the filter prunes the scan.

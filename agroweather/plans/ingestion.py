@@ -7,6 +7,7 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from agroweather.operators.batching import BATCH_SIZE, point_batches
 from agroweather.operators.gate import (
@@ -15,10 +16,10 @@ from agroweather.operators.gate import (
     record_counts,
     work_list,
 )
-from agroweather.operators.joins import broadcast_within
 from agroweather.operators.probes import year_is_loaded
 from agroweather.operators.sinks import REPLACE_TABLE, land_bronze, load_raw
 from agroweather.schemas import INGEST_STAMP, RAW_WEATHER, RAW_YIELD, WEATHER_VARIABLES
+from agroweather.sources.constants import constant_rows
 from agroweather.sources.counties import read_gazetteer
 from agroweather.sources.lake import Lake
 from agroweather.sources.weather_payload import (
@@ -36,12 +37,10 @@ WINDOW_START = date(2025, 4, 1)
 WINDOW_END = date(2025, 10, 31)
 TARGET_YEAR = 2025
 
-# Up to this many point keys (about 20 MB) are shipped to every executor, so that
-# the response texts need not be shuffled to meet them.
-MAX_BROADCAST_POINTS = 1_000_000
-
+STATES = StructType([StructField("state_alpha", StringType())])
 WEATHER_TABLE = "weather_daily"
 YIELD_TABLE = "nass_yield"
+POINT_BATCHES = "point_batches"
 
 
 @dataclass(frozen=True)
@@ -57,11 +56,15 @@ def _stamp(df: DataFrame, ingested_at: datetime | None) -> DataFrame:
     return df.withColumn(INGEST_STAMP, F.lit(ingested_at or datetime.now(timezone.utc)))
 
 
-def request_batches(
-    points: DataFrame, batch_size: int = BATCH_SIZE, max_broadcast: int = MAX_BROADCAST_POINTS
-) -> DataFrame:
-    """Point batches, marked for broadcast when they hold at most ``max_broadcast`` points."""
-    return broadcast_within(point_batches(points, batch_size), max_broadcast // batch_size)
+def request_batches(points: DataFrame, path: str, batch_size: int = BATCH_SIZE) -> DataFrame:
+    """Point batches, written once to ``path``: the list of requests that were to be answered.
+
+    Read back, their size in bytes is known to the planner, which broadcasts them
+    to the response texts below the session's threshold and sorts and merges above it.
+    """
+    batches = point_batches(points, batch_size)
+    batches.write.mode("overwrite").parquet(path)
+    return points.sparkSession.read.schema(batches.schema).parquet(path)
 
 
 def ingest_weather(
@@ -86,7 +89,7 @@ def ingest_weather(
     given as ``ingested_at`` has to carry its time zone.
     """
     variables = variables or WEATHER_VARIABLES
-    batches = request_batches(points, batch_size)
+    batches = request_batches(points, lake.staging(POINT_BATCHES), batch_size)
     answered = landed_keys(spark, payload_path, "batch_id")
     missing = batches.join(answered, "batch_id", "left_anti").select("batch_id").head(1)
     if missing:
@@ -140,7 +143,7 @@ def ingest_yield(
         year=year,
     )
     cells = work_list(
-        spark.createDataFrame([(state,) for state in states], "state_alpha string"),
+        constant_rows(spark, [(state,) for state in states], STATES),
         commodities,
         [year],
     )

@@ -11,6 +11,7 @@ from agroweather.functions import in_season
 from agroweather.functions.calendar import SEASON_END, SEASON_START
 from agroweather.operators.sinks import refresh_from_watermark
 from agroweather.schemas import ANALYSIS, COUNTY_CENTROIDS, CROP_YIELD, DIM_COMMODITY, STAGED_WEATHER
+from agroweather.sources.constants import constant_rows
 
 # Commodity, display name, growing-degree base in °C, bushel weight in lb.
 COMMODITIES = [
@@ -30,7 +31,7 @@ def county_dimension(centroids: DataFrame) -> DataFrame:
 
 def commodity_dimension(spark: SparkSession) -> DataFrame:
     """``dim_commodity``"""
-    return spark.createDataFrame(COMMODITIES, DIM_COMMODITY)
+    return constant_rows(spark, COMMODITIES, DIM_COMMODITY)
 
 
 def calendar(

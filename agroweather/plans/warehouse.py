@@ -5,6 +5,8 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from agroweather.functions.calendar import SEASON_END, SEASON_START
 from agroweather.operators.sinks import REPLACE_TABLE, write_partitioned
@@ -45,6 +47,15 @@ from agroweather.schemas import (
 from agroweather.sources.lake import Lake, read_table, table_or_none
 
 MART_CLUSTERING = ["state_alpha", "commodity"]
+# One row beside the staging tables: the options of the last finished build.
+OPTIONS = "build_options"
+OPTIONS_SCHEMA = T.StructType(
+    [
+        T.StructField("season_start", T.StringType()),
+        T.StructField("season_end", T.StringType()),
+        T.StructField("store_staging", T.BooleanType()),
+    ]
+)
 
 
 def _stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
@@ -72,6 +83,11 @@ def build_models(
     the full-table shuffle behind them runs once; with ``store_staging=False``
     they stay lazy views, as the staged yields (a per-row projection) always do.
     """
+    options = F.struct(
+        F.lit(season_start).alias("season_start"),
+        F.lit(season_end).alias("season_end"),
+        F.lit(store_staging).alias("store_staging"),
+    )
     staged_weather = stage_weather(raw_weather)
     staged_yields = stage_yields(raw_yields)
     if store_staging:
@@ -106,6 +122,7 @@ def build_models(
         "year",
         MART_CLUSTERING,
     )
+    _stored(spark, spark.range(1).select(options.alias("o")).select("o.*"), lake.staging(OPTIONS))
     return {
         "stg_weather_daily": staged_weather,
         "stg_nass_yield": staged_yields,
@@ -133,14 +150,13 @@ def build_warehouse(
     )
 
 
-def open_models(
-    spark: SparkSession, lake: Lake, *, store_staging: bool = True
-) -> dict[str, DataFrame]:
+def open_models(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     """The models of a lake built before, for a new session.
 
-    ``store_staging`` is that of the build: with it the staged weather and the
-    features are read, without it they are lazy views over raw.
+    Season and ``store_staging`` are those of the last build: where it stored
+    the staged weather and the features they are read, else they are lazy views.
     """
+    built = read_table(spark, lake.staging(OPTIONS), OPTIONS_SCHEMA).head()
     marts = {
         "dim_county": COUNTY_CENTROIDS,
         "dim_commodity": DIM_COMMODITY,
@@ -149,13 +165,13 @@ def open_models(
         "fact_crop_yield": CROP_YIELD,
         "weather_yield_analysis": ANALYSIS,
     }
-    if store_staging:
+    if built.store_staging:
         staged_weather = read_table(spark, lake.staging("stg_weather_daily"), STAGED_WEATHER)
         features_path = lake.staging("int_weather_growing_season")
         features = read_table(spark, features_path, SEASON_FEATURES)
     else:
         staged_weather = stage_weather(read_table(spark, lake.raw(WEATHER_TABLE), RAW_WEATHER))
-        features = season_features(staged_weather)
+        features = season_features(staged_weather, built.season_start, built.season_end)
     return {
         "stg_weather_daily": staged_weather,
         "stg_nass_yield": stage_yields(read_table(spark, lake.raw(YIELD_TABLE), RAW_YIELD)),

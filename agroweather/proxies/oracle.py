@@ -12,7 +12,7 @@ from agroweather.proxies import queries as q
 
 def _fips(key: str) -> str:
     return (
-        f"LPAD(CAST(1 + {key} // 1000 AS VARCHAR), 2, '0')"
+        f"LPAD(to_base(1 + {key} // 1000, 36), 2, '0')"
         f" || LPAD(CAST({key} % 1000 AS VARCHAR), 3, '0')"
     )
 
@@ -61,7 +61,7 @@ CTES = {
         FROM lineitem GROUP BY 1, 2, 3""",
     "raw_yields": """
         SELECT n_name AS state_alpha,
-               CAST(1 + l_suppkey // 1000 AS VARCHAR) AS state_fips_code,
+               to_base(1 + l_suppkey // 1000, 36) AS state_fips_code,
                LPAD(CAST(l_suppkey % 1000 AS VARCHAR), 3, '0') AS county_code,
                s_name AS county_name,
                CASE l_returnflag WHEN 'A' THEN 'CORN' WHEN 'N' THEN 'SOYBEANS' ELSE 'WHEAT' END

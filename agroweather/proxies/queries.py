@@ -142,7 +142,7 @@ def _landed_weather(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
 
 def parse_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     points, path = _landed_weather(spark, sf_dir)
-    batches = plans.request_batches(points, BATCH_SIZE)
+    batches = plans.request_batches(points, scratch_path(spark, "point-batches"), BATCH_SIZE)
     landed = read_payloads(spark, path, "batch_id")
     return parse_weather_payloads(attach_points(landed, batches))
 

@@ -17,7 +17,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _state_code(key: str) -> Column:
-    return (F.lit(1) + F.expr(f"{key} div 1000")).cast("string")
+    """In base 36, so that two characters hold the states of 1,295,000 suppliers."""
+    return F.conv((F.lit(1) + F.expr(f"{key} div 1000")).cast("string"), 10, 36)
 
 
 def _county_code(key: str) -> Column:

@@ -6,7 +6,6 @@ import os
 import tempfile
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
@@ -49,27 +48,20 @@ def is_local(spark: SparkSession) -> bool:
 def configure(spark: SparkSession) -> SparkSession:
     """Settings a session may get after it was started.
 
-    Load stamps are UTC instants, so the session has to render them in UTC. A
-    local session lists the folders of a partitioned table with one task per
-    core, not one per folder, and keeps small stages spread over its cores.
+    Load stamps are UTC instants, so the session has to render them in UTC.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    if is_local(spark):
-        spark.conf.set(
-            "spark.sql.sources.parallelPartitionDiscovery.parallelism",
-            str(spark.sparkContext.defaultParallelism),
-        )
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     return spark
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
+def scratch_path(spark: SparkSession, name: str, root: str | None = None) -> str:
     """A fresh folder for intermediate tables, on storage every executor can reach.
 
-    The cluster names that storage in ``spark.checkpoint.dir``. Only a local
-    session may fall back to a temporary folder of the machine.
+    The cluster names that storage in ``spark.checkpoint.dir``, a caller may name
+    another. Only a local session may fall back to a temporary folder of the
+    machine. A finished run may delete its folders with :func:`remove_folder`.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = root or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not is_local(spark):
             raise ValueError("set spark.checkpoint.dir to a shared folder for intermediate tables")
@@ -77,5 +69,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/agroweather/{name}-{uuid.uuid4().hex}"
 
 
-def is_missing_path(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
+def file_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists in the storage that the path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate tables once its readers are done."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

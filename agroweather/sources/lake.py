@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from agroweather.session import is_missing_path
+from agroweather.session import file_exists
 
 
 @dataclass(frozen=True)
@@ -43,11 +42,15 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
+def is_committed(spark: SparkSession, path: str) -> bool:
+    """Whether a write of the table has been finished.
+
+    A whole-table write leaves its marker last and removes the old one first,
+    so a folder without it is what an interrupted write left behind.
+    """
+    return file_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+
+
 def table_or_none(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
-    """The table, or None where nothing has been written yet."""
-    try:
-        return read_table(spark, path, schema)
-    except AnalysisException as error:
-        if is_missing_path(error):
-            return None
-        raise
+    """The table, or None where no write has been finished yet."""
+    return read_table(spark, path, schema) if is_committed(spark, path) else None

@@ -26,7 +26,7 @@ def random_weather(seed, n_rows):
         hot = i % 3 == 0
         made.append(
             {
-                "fips": "19001" if hot else f"19{pick.randrange(1, 6):03d}",
+                "fips": "31055" if hot else f"19{pick.randrange(1, 6):03d}",
                 "date": day("2025-04-01")
                 if hot
                 else day("2024-03-25") + timedelta(days=pick.randrange(0, 600, 7)),

@@ -7,7 +7,7 @@ from tests.conftest import day, rows, stamp
 
 
 def test_latest_load_wins_and_null_stamps_lose(raw_weather):
-    key = {"fips": "19001", "date": day("2025-04-01")}
+    key = {"fips": "31055", "date": day("2025-04-01")}
     raw = raw_weather(
         {**key, "temperature_2m_max": 1.0, "_ingested_at": stamp(8)},
         {**key, "temperature_2m_max": 2.0, "_ingested_at": stamp(9)},
@@ -17,7 +17,7 @@ def test_latest_load_wins_and_null_stamps_lose(raw_weather):
 
 
 def test_equal_stamps_are_broken_by_the_measures(raw_weather):
-    key = {"fips": "19001", "date": day("2025-04-01"), "_ingested_at": stamp(8)}
+    key = {"fips": "31055", "date": day("2025-04-01"), "_ingested_at": stamp(8)}
     made = [
         {**key, "temperature_2m_max": 5.0, "precipitation_sum": 1.0},
         {**key, "temperature_2m_max": 5.0, "precipitation_sum": 2.0},
@@ -31,7 +31,7 @@ def test_equal_stamps_are_broken_by_the_measures(raw_weather):
 def test_staged_weather_renames(raw_weather):
     raw = raw_weather(
         {
-            "fips": "19001",
+            "fips": "31055",
             "date": day("2025-04-01"),
             "shortwave_radiation_sum": 3.0,
             "windspeed_10m_max": 4.0,
@@ -62,22 +62,22 @@ def test_staged_yields(raw_yields):
         "yield_value", "yield_value_t_ha", "_ingested_at",
     ]
     values = [(r.fips, r.commodity, r.yield_value, r.yield_value_t_ha) for r in got.collect()]
-    assert values[0] == ("19001", "corn", 200.0, 200.0 * 0.0627677)
-    assert values[1] == ("19003", "soybeans", 1000.5, 1000.5 * 0.0672511)
-    assert values[2] == ("19001", "corn", None, None)
-    assert values[3] == ("19001", "wheat", 50.0, None)
+    assert values[0] == ("31055", "corn", 160.0, 160.0 * 0.0627677)
+    assert values[1] == ("31003", "soybeans", 1000.5, 1000.5 * 0.0672511)
+    assert values[2] == ("31055", "corn", None, None)
+    assert values[3] == ("31055", "wheat", 50.0, None)
     assert len(values) == 4
 
 
 SEASON_DAYS = [
-    ("19001", "2025-03-31", 40.0, 20.0, 0.0, 9.0, 9.0),
-    ("19001", "2025-04-01", 30.0, 10.0, 1.0, 2.0, 10.0),
-    ("19001", "2025-07-01", 30.5, 20.5, 0.9, 5.0, 20.0),
-    ("19001", "2025-08-01", 12.0, 2.0, 5.0, 1.0, 15.0),
-    ("19001", "2025-10-31", None, 5.0, None, 1.0, None),
-    ("19001", "2025-11-01", 40.0, 20.0, 0.0, 9.0, 9.0),
-    ("19003", "2025-05-01", None, 5.0, 0.0, None, None),
-    ("19005", "2025-06-01", math.nan, 5.0, math.nan, 1.0, 1.0),
+    ("31055", "2025-03-31", 40.0, 20.0, 0.0, 9.0, 9.0),
+    ("31055", "2025-04-01", 30.0, 10.0, 1.0, 2.0, 10.0),
+    ("31055", "2025-07-01", 30.5, 20.5, 0.9, 5.0, 20.0),
+    ("31055", "2025-08-01", 12.0, 2.0, 5.0, 1.0, 15.0),
+    ("31055", "2025-10-31", None, 5.0, None, 1.0, None),
+    ("31055", "2025-11-01", 40.0, 20.0, 0.0, 9.0, 9.0),
+    ("31057", "2025-05-01", None, 5.0, 0.0, None, None),
+    ("31059", "2025-06-01", math.nan, 5.0, math.nan, 1.0, 1.0),
 ]
 
 
@@ -100,7 +100,7 @@ def _season(staged_weather):
 
 def test_season_features(staged_weather):
     got = {r.fips: r for r in plans.season_features(_season(staged_weather)).collect()}
-    a, b, c = got["19001"], got["19003"], got["19005"]
+    a, b, c = got["31055"], got["31057"], got["31059"]
     assert a.year == 2025
     assert (a.gdd, a.heat_stress_days, a.dry_days, a.et0_total_mm) == (25.5, 1, 1, 9.0)
     assert (a.precip_total_mm, a.radiation_mean) == pytest.approx((6.9, 15.0))
@@ -136,29 +136,29 @@ def test_analysis_needs_yield_weather_and_centroid(spark, staged_weather, raw_yi
                 "et0_fao_evapotranspiration": 4.0}
 
     features = plans.season_features(
-        staged_weather(season_day("19001"), season_day("19003"), season_day("19007"))
+        staged_weather(season_day("31055"), season_day("31057"), season_day("31061"))
     )
     counties = spark.createDataFrame(
-        [("19001", "IA", "Adair County", 1.0, 2.0), ("19005", "IA", "B", 1.0, 2.0),
-         ("19007", "IA", "C", 1.0, 2.0)],
+        [("31055", "NE", "Douglas County", 1.0, 2.0), ("31059", "IA", "B", 1.0, 2.0),
+         ("31061", "IA", "C", 1.0, 2.0)],
         "fips string, state_alpha string, county_name string, lat double, lon double",
     )
     yields = plans.crop_yield_fact(
         plans.stage_yields(
             raw_yields(
-                {"county_code": "001"},
-                {"county_code": "001", "commodity_desc": "SOYBEANS", "value_raw": "(D)"},
-                {"county_code": "003"},
+                {"county_code": "055"},
+                {"county_code": "055", "commodity_desc": "SOYBEANS", "value_raw": "(D)"},
+                {"county_code": "057"},
                 {"county_code": "005"},
-                {"county_code": "001", "year": 2024},
+                {"county_code": "055", "year": 2024},
             )
         )
     )
     got = plans.weather_yield_analysis(yields, features, counties).orderBy("commodity").collect()
     assert [tuple(r) for r in got] == [
-        ("19001", "IA", "Adair County", "corn", 2025, 200.0, 200.0 * 0.0627677, "BU / ACRE",
+        ("31055", "NE", "Douglas County", "corn", 2025, 160.0, 160.0 * 0.0627677, "BU / ACRE",
          5.0, 3.0, 0, 0, 4.0, 20.0),
-        ("19001", "IA", "Adair County", "soybeans", 2025, None, None, "BU / ACRE",
+        ("31055", "NE", "Douglas County", "soybeans", 2025, None, None, "BU / ACRE",
          5.0, 3.0, 0, 0, 4.0, 20.0),
     ]
 
@@ -167,13 +167,13 @@ def test_state_yields_skip_suppressed_counties(raw_yields):
     yields = plans.crop_yield_fact(
         plans.stage_yields(
             raw_yields(
-                {"county_code": "001", "value_raw": "100"},
-                {"county_code": "003", "value_raw": "300"},
+                {"county_code": "055", "value_raw": "100"},
+                {"county_code": "057", "value_raw": "300"},
                 {"county_code": "005", "value_raw": "(D)"},
             )
         )
     )
-    assert rows(plans.state_yields(yields)) == [("IA", "corn", 2025, 200.0, 100.0, 300.0, 2)]
+    assert rows(plans.state_yields(yields)) == [("NE", "corn", 2025, 200.0, 100.0, 300.0, 2)]
 
 
 def test_correlation(spark):

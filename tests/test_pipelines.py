@@ -16,7 +16,7 @@ VARIABLES = [f for f in RAW_WEATHER.names if f not in
 @pytest.fixture
 def centroids(spark):
     return spark.createDataFrame(
-        [("19001", "IA", "Adair County", 41.0, -94.0), ("19003", "IA", "Adams County", 41.1, -94.1)],
+        [("31055", "NE", "Douglas County", 41.0, -94.0), ("31057", "NE", "Dixon County", 41.1, -94.1)],
         "fips string, state_alpha string, county_name string, lat double, lon double",
     )
 
@@ -43,7 +43,7 @@ def responses(tmp_path_factory):
 
 
 def yield_body(*changes):
-    return json.dumps({"data": [{**RECORD, **change} for change in changes]})
+    return json.dumps({"data": [{**RECORD, "commodity_desc": "CORN", **change} for change in changes]})
 
 
 APRIL = ["2025-04-01", "2025-04-02", "2025-04-03"]
@@ -59,7 +59,7 @@ def test_weather_ingestion(spark, centroids, responses, tmp_path):
     raw = read_table(spark, lake.raw("weather_daily"), RAW_WEATHER)
     assert {r._ingested_at for r in raw.collect()} == {stamp(8).replace(tzinfo=None)}
     assert {(r.fips, r.date.day) for r in raw.collect()} == {
-        ("19001", 1), ("19001", 2), ("19003", 1), ("19003", 2)}
+        ("31055", 1), ("31055", 2), ("31057", 1), ("31057", 2)}
     bronze = read_table(spark, lake.bronze("weather_daily"), RAW_WEATHER)
     assert sorted(rows(bronze), key=str) == sorted(rows(raw), key=str)
 
@@ -102,11 +102,11 @@ def test_batch_without_response_fails(spark, centroids, responses, tmp_path):
 def test_yield_ingestion_gate_and_skip(spark, responses, tmp_path):
     lake = Lake(str(tmp_path))
     landed = responses(
-        yield_body({}, {"county_code": "003"}, {"year": "2024"}),
+        yield_body({}, {"county_code": "057"}, {"year": "2024"}),
         yield_body({"commodity_desc": "SOYBEANS", "state_alpha": "IL"}),
         key=False,
     )
-    with pytest.raises(op.RecordLimitExceeded, match="2 records for CORN/IA/2025"):
+    with pytest.raises(op.RecordLimitExceeded, match="2 records for CORN/NE/2025"):
         plans.ingest_yield(spark, landed, lake, limit=2)
     assert not op.year_is_loaded(spark, lake.raw("nass_yield"), 2025)
 
@@ -129,7 +129,7 @@ def test_backfill_builds_and_checks_every_model(spark, centroids, responses, tmp
             spark, lake,
             weather_payloads=responses(weather_body(times, value)),
             yield_payloads=responses(
-                yield_body({}, {"county_code": "003", "Value": "(D)"},
+                yield_body({}, {"county_code": "057", "Value": "(D)"},
                            {"county_code": "000", "agg_level_desc": "STATE"}),
                 key=False,
             ),
@@ -153,7 +153,7 @@ def test_backfill_builds_and_checks_every_model(spark, centroids, responses, tmp
     top = spark.sql(
         "SELECT county_name, yield_value, gdd FROM weather_yield_analysis ORDER BY fips"
     )
-    assert rows(top) == [("Adair County", 201.0, 30.0), ("Adams County", None, 30.0)]
+    assert rows(top) == [("Douglas County", 58.3, 30.0), ("Dixon County", None, 30.0)]
 
     opened = plans.open_models(spark, lake)
     assert {n: m.columns for n, m in opened.items()} == {n: m.columns for n, m in models.items()}
@@ -165,15 +165,36 @@ def test_backfill_builds_and_checks_every_model(spark, centroids, responses, tmp
     assert sorted({(r.date.day, r.precipitation_sum) for r in fact.collect()}) == [
         (1, 20.0), (2, 20.0), (3, 30.0), (4, 30.0)]
     assert models["stg_weather_daily"].count() == 4
-    opened = plans.open_models(spark, lake, store_staging=False)
+    opened = plans.open_models(spark, lake)
     assert opened["stg_weather_daily"].count() == 4
     assert opened["int_weather_growing_season"].count() == 2
 
 
+@pytest.mark.parametrize("store_staging", [True, False])
+def test_models_reopen_with_the_options_of_the_build(
+    spark, centroids, raw_weather, raw_yields, tmp_path, store_staging
+):
+    lake = Lake(str(tmp_path))
+    days = [
+        {"fips": "31057", "date": day(d), "temperature_2m_max": t, "_ingested_at": stamp(9)}
+        for d, t in (("2025-01-15", 16.0), ("2025-02-20", 20.0), ("2025-05-02", 30.0))
+    ]
+    raw_weather(*days).write.partitionBy("date").parquet(lake.raw("weather_daily"))
+    raw_yields({}).write.partitionBy("year").parquet(lake.raw("nass_yield"))
+    plans.build_warehouse(spark, lake, centroids, store_staging=True)
+    built = plans.build_warehouse(
+        spark, lake, centroids, season_start="01-01", season_end="03-31", store_staging=store_staging
+    )
+    opened = plans.open_models(spark, lake)
+    assert opened["int_weather_growing_season"].head().tmax_mean == 18.0
+    for name, model in built.items():
+        assert sorted(map(str, rows(opened[name]))) == sorted(map(str, rows(model))), name
+
+
 def test_failing_checks_are_reported(spark, centroids, raw_weather, raw_yields, tmp_path):
     models = plans.build_models(
         spark,
-        raw_weather({"fips": "19001", "date": day("2025-05-01"), "_ingested_at": stamp(8)}),
+        raw_weather({"fips": "31055", "date": day("2025-05-01"), "_ingested_at": stamp(8)}),
         raw_yields({}, {}, {"county_code": "777"}, {"commodity_desc": "WHEAT"}),
         centroids,
         Lake(str(tmp_path)),

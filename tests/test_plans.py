@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from agroweather import operators as op
 from agroweather import plans
+from agroweather.plans.ingestion import STATES
+from agroweather.sources.constants import constant_rows
 from agroweather.functions import in_season
 from agroweather.schemas import RAW_WEATHER, STAGED_WEATHER
 from agroweather.sources import attach_points, parse_weather_payloads, parse_yield_payloads, read_table
@@ -43,7 +45,7 @@ def stored_weather(spark, raw_weather, tmp_path):
     made = [
         {"fips": f, "date": day(d), "temperature_2m_max": 20.0, "temperature_2m_min": 10.0,
          "_ingested_at": stamp(8)}
-        for f in ("19001", "19003") for d in ("2025-03-01", "2025-05-01", "2025-06-01")
+        for f in ("31055", "31057") for d in ("2025-03-01", "2025-05-01", "2025-06-01")
     ]
     op.write_partitioned(raw_weather(*made), path, "date", ["fips"])
     return read_table(spark, path, RAW_WEATHER)
@@ -158,25 +160,38 @@ def test_orphan_check_shuffles_counted_keys(spark, tmp_path):
     assert "BroadcastHashJoin" in plan(op.orphan_keys(yields, "fips", counties))
 
 
-def test_point_lists_are_broadcast_only_when_counted_few(spark, tmp_path):
+def test_point_lists_are_stored_once_and_joined_by_size(spark, tmp_path):
     spark.range(300).select(
         F.format_string("19%03d", F.col("id").cast("int")).alias("fips"),
         F.lit(1.0).alias("lat"), F.lit(2.0).alias("lon"),
     ).write.parquet(str(tmp_path / "points"))
     points = spark.read.parquet(str(tmp_path / "points"))
     bodies = spark.range(6).select(F.col("id").alias("batch_id"), F.lit("{}").alias("body"))
+    batches = plans.request_batches(points, str(tmp_path / "batches"), 50)
+    joined = attach_points(bodies, batches)
+    few = sorted(joined.collect(), key=str)
+    assert "BroadcastHashJoin [batch_id" in plan(joined) and "Window" not in plan(joined)
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1",
                   spark__sql__adaptive__autoBroadcastJoinThreshold="-1"):
-        few = attach_points(bodies, plans.request_batches(points, 50, max_broadcast=300))
-        many = attach_points(bodies, plans.request_batches(points, 50, max_broadcast=250))
-        assert "BroadcastHashJoin [batch_id" in plan(few)
-        assert "SortMergeJoin [batch_id" in plan(many)
-        assert sorted(few.collect(), key=str) == sorted(many.collect(), key=str)
+        joined = attach_points(bodies, batches)
+        assert "SortMergeJoin [batch_id" in plan(joined)
+        assert few == sorted(joined.collect(), key=str)
+
+
+def test_constant_relations_are_known_to_be_small(spark, tmp_path, raw_yields):
+    raw_yields({}).write.parquet(str(tmp_path / "yields"))
+    yields = spark.read.parquet(str(tmp_path / "yields"))
+    with settings(spark, spark__sql__adaptive__enabled="false"):
+        by_name = yields.withColumn("commodity", F.lower("commodity_desc"))
+        assert "BroadcastHashJoin" in plan(by_name.join(plans.commodity_dimension(spark), "commodity"))
+        states = constant_rows(spark, [("NE",), ("IL",)], STATES)
+        cells = op.work_list(states, ["CORN"], [2025])
+        assert "SortMergeJoin" not in plan(op.record_counts(yields, cells, 9))
 
 
 def test_no_python_runs_in_the_workers(spark, raw_weather, raw_yields):
-    batches = spark.createDataFrame([("19001", 1.0, 2.0)], "fips string, lat double, lon double")
-    bodies = spark.createDataFrame([(["19001"], "{}")], "fips_list array<string>, body string")
+    batches = spark.createDataFrame([("31055", 1.0, 2.0)], "fips string, lat double, lon double")
+    bodies = spark.createDataFrame([(["31055"], "{}")], "fips_list array<string>, body string")
     for df in (
         plans.season_features(plans.stage_weather(raw_weather())),
         plans.stage_yields(raw_yields()),

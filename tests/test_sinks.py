@@ -152,6 +152,25 @@ def test_nothing_newer_changes_nothing(spark, staged_weather, tmp_path):
     assert content(spark, path) == [("04-02", "A", 1.0)]
 
 
+@pytest.mark.parametrize("left", ["empty", "temporary"])
+def test_interrupted_first_build_is_built_anew(spark, staged_weather, tmp_path, left):
+    folder = tmp_path / "fact" / ("_temporary/0" if left == "temporary" else "")
+    folder.mkdir(parents=True)
+    path = str(tmp_path / "fact")
+    refresh_weather_fact(spark, staged_weather(weather("A", "2025-04-01", 1.0)), path)
+    assert content(spark, path) == [("04-01", "A", 1.0)]
+
+
+def test_interrupted_load_does_not_count_as_loaded(spark, raw_yields, tmp_path):
+    path = tmp_path / "raw"
+    op.write_partitioned(raw_yields({"year": 2025}), str(path), "year", replace="partitions")
+    assert op.year_is_loaded(spark, str(path), 2025) is True
+    op.write_partitioned(raw_yields({"year": 2024}), str(path), "year", replace="partitions")
+    assert op.year_is_loaded(spark, str(path), 2024) and op.year_is_loaded(spark, str(path), 2025)
+    (path / "_SUCCESS").unlink()
+    assert op.year_is_loaded(spark, str(path), 2025) is False
+
+
 def test_year_probe(spark, raw_yields, tmp_path):
     path = str(tmp_path / "raw")
     assert op.year_is_loaded(spark, path, 2025) is False
