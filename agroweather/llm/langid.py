@@ -125,6 +125,8 @@ def fit(rows: list[tuple], idf: np.ndarray) -> tuple[list[str], np.ndarray, np.n
         grams = gram_counts(text, letters)
         if grams:
             made.append((place[lang], grams[0], weights(*grams, idf)))
+    if not made:
+        return [], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0
     k = len(langs)
     z, n = np.zeros((BUCKETS + 1, k)), np.zeros((BUCKETS + 1, k))
 
@@ -160,7 +162,7 @@ def fit(rows: list[tuple], idf: np.ndarray) -> tuple[list[str], np.ndarray, np.n
             np.mean(np.log(np.exp(scaled).sum(axis=1)) - scaled[np.arange(len(targets)), targets])
         )
 
-    temperature = min(np.geomspace(0.05, 20, 121), key=loss) if len(targets) else 1.0
+    temperature = min(np.geomspace(0.05, 20, 121), key=loss)
     return langs, w[:BUCKETS], w[BUCKETS], float(temperature)
 
 

@@ -90,6 +90,7 @@ def passage_counts(data: bytes, first: int, count: int) -> np.ndarray:
     for offset in range(STRETCH):
         stretches = stretches * np.uint64(1099511628211) + part[offset : offset + places]
     stretches = (owner[:places].astype(np.uint64) << np.uint64(48)) | (stretches >> np.uint64(16))
+    stretches = stretches[owner[:places] == owner[STRETCH - 1 :]] if places else stretches
     stretches.sort()
     again = stretches[1:][stretches[1:] == stretches[:-1]] >> np.uint64(48)
     out[:, -2] = np.bincount(again.astype(np.int64), minlength=rows)
