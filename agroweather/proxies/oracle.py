@@ -327,6 +327,23 @@ ORACLES: dict[str, str] = {
               AND commodity_desc IN ({_strings(q.YIELD_COMMODITIES)})
               AND state_alpha IN ({_strings(q.YIELD_STATES)})""",
     ),
+    "q_ingest_yield_twice": _statement(
+        ["raw_yields"],
+        f"""SELECT {_YIELD_PAYLOAD_COLUMNS}, {_STAMP} AS _ingested_at,
+                   'loaded,skipped' AS statuses
+            FROM raw_yields
+            WHERE year = {q.YIELD_YEAR} AND statisticcat_desc = 'YIELD'
+              AND commodity_desc IN ({_strings(q.YIELD_COMMODITIES)})
+              AND state_alpha IN ({_strings(q.YIELD_STATES)})""",
+    ),
+    "q_bronze_cleared": _statement(
+        ["raw_yields"],
+        """SELECT 'kept' AS folder, COUNT(*) AS n_rows FROM raw_yields
+           UNION ALL SELECT 'cleared', 0""",
+    ),
+    "q_fact_weather_recovered": _statement(
+        ["stg_weather"], f"SELECT {STAGED_COLUMNS} FROM stg_weather"
+    ),
     "q_build_county_seed": _statement(
         ["counties"],
         f"SELECT * FROM counties WHERE state_alpha IN ({_strings(q.SEED_STATES)})",

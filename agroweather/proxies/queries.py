@@ -14,7 +14,7 @@ from agroweather.functions import bu_acre_to_t_ha, parse_yield
 from agroweather.operators.sinks import REPLACE_PARTITIONS, REPLACE_TABLE
 from agroweather.proxies import payloads, views
 from agroweather.schemas import ANALYSIS, RAW_WEATHER, RAW_YIELD, STAGED_WEATHER
-from agroweather.session import configure, scratch_path
+from agroweather.session import configure, remove_folder, scratch_path
 from agroweather.sources import (
     Lake,
     attach_points,
@@ -99,6 +99,18 @@ def fact_weather_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path, STAGED_WEATHER)
 
 
+def fact_weather_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a first build left behind without its commit marker, then a build."""
+    path = Lake(scratch_path(spark, "fact-recovered")).mart("fact_weather_daily")
+    staged = staged_weather(spark, sf_dir)
+    plans.refresh_weather_fact(
+        spark, staged.filter(F.month("date") == 6).withColumn("wind_speed_kmh", F.lit(-1.0)), path
+    )
+    remove_folder(spark, f"{path}/_SUCCESS")
+    plans.refresh_weather_fact(spark, staged, path)
+    return read_table(spark, path, STAGED_WEATHER)
+
+
 def weather_yield_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.weather_yield_analysis(
         crop_yields(spark, sf_dir), features(spark, sf_dir), county_dimension(spark, sf_dir)
@@ -191,6 +203,42 @@ def ingest_yield(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, lake.raw("nass_yield"), RAW_YIELD)
 
 
+def ingest_yield_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load, and a later one that finds the year loaded and skips."""
+    lake, landed = Lake(scratch_path(spark, "ingest-twice")), _landed_yields(spark, sf_dir)
+    statuses = [
+        plans.ingest_yield_if_new(
+            spark,
+            landed,
+            lake,
+            one_per_file=False,
+            year=YIELD_YEAR,
+            commodities=YIELD_COMMODITIES,
+            states=YIELD_STATES,
+            limit=10**9,
+            ingested_at=stamp,
+        ).status
+        for stamp in (STAMP, STAMP + timedelta(days=1))
+    ]
+    loaded = read_table(spark, lake.raw("nass_yield"), RAW_YIELD)
+    return loaded.withColumn("statuses", F.lit(",".join(statuses)))
+
+
+def bronze_cleared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yields landed twice side by side; an empty frame clears one of the folders only."""
+    lake, raw = Lake(scratch_path(spark, "cleared")), views.raw_yields(spark, sf_dir)
+    for name in ("kept", "cleared"):
+        op.land_bronze(raw, lake.bronze(name), "year")
+    op.land_bronze(raw.filter(F.lit(False)), lake.bronze("cleared"), "year")
+    counts = [
+        read_table(spark, lake.bronze(name), RAW_YIELD).agg(
+            F.lit(name).alias("folder"), F.count(F.lit(1)).alias("n_rows")
+        )
+        for name in ("kept", "cleared")
+    ]
+    return counts[0].unionByName(counts[1])
+
+
 def county_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "seed")
     payloads.write_gazetteer(views.counties(spark, sf_dir), f"{root}/gazetteer")
@@ -358,6 +406,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_raw_yield_partitions": raw_yield_partitions,
     "q_year_loaded": year_loaded,
     "q_record_count_gate": record_count_gate,
+    "q_fact_weather_recovered": fact_weather_recovered,
+    "q_ingest_yield_twice": ingest_yield_twice,
+    "q_bronze_cleared": bronze_cleared,
     "q_dq_not_null": dq_not_null,
     "q_dq_unique": dq_unique,
     "q_dq_unique_combination": dq_unique_combination,
