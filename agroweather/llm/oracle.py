@@ -1,5 +1,7 @@
 """DuckDB statements of the text queries that SQL expresses."""
 
+from agroweather.llm.license_scan import RULES, SENTENCES
+
 LINE_DEDUP = r"""
 WITH lines AS (
     SELECT doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS line
@@ -21,4 +23,30 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
-ORACLES = {"op1_line_dedup": LINE_DEDUP}
+_KNOWN = ", ".join(f"('{name}', '{text}')" for name, text in SENTENCES.items())
+_SHOWN = ", ".join(
+    "CASE WHEN "
+    + " OR ".join(f"contains(ids, ',{','.join(sequence)},')" for sequence in sequences)
+    + f" THEN '{name}' END"
+    for name, sequences in RULES
+)
+LICENSE_SCAN = rf"""
+WITH known(name, sentence) AS (VALUES {_KNOWN}), parts AS (
+    SELECT doc_id, string_split(regexp_replace(translate(
+        regexp_replace(coalesce(text, ''), '[.!?][\x20\x09\x0D]+', chr(10), 'g'),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^a-z0-9
+]+', ' ', 'g'), chr(10)) AS parts
+    FROM documents
+), sentences AS (
+    SELECT doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS sentence FROM parts
+), found AS (
+    SELECT doc_id, count(*) AS n, ',' || string_agg(name, ',' ORDER BY pos) || ',' AS ids
+    FROM sentences JOIN known ON trim(sentences.sentence) = known.sentence GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0) AS n_sentences, coalesce(trim(ids, ','), '') AS sentence_ids,
+       CASE WHEN ids IS NULL THEN '' ELSE concat_ws(',', {_SHOWN}) END AS licenses
+FROM documents LEFT JOIN found USING (doc_id)
+"""
+
+ORACLES = {"op1_line_dedup": LINE_DEDUP, "op6_license_scan": LICENSE_SCAN}

@@ -9,6 +9,7 @@ from agroweather.llm import (
     decontaminate,
     embedding_join,
     langid,
+    license_scan,
     line_dedup,
     ngram_join,
     quality,
@@ -48,6 +49,10 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify_quality(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -74,6 +79,7 @@ QUERIES = {
     "op3_bpe": op3_bpe,
     "op4_embedding_join": op4_embedding_join,
     "op5_ngram_join": op5_ngram_join,
+    "op6_license_scan": op6_license_scan,
     "op7_quality": op7_quality,
     "op8_url_filter": op8_url_filter,
     "op9_decontamination": op9_decontamination,
