@@ -145,7 +145,68 @@ def _failing_records(rows: DataFrame) -> DataFrame:
     return rows.agg(F.sum("n_records").alias("failures"))
 
 
-def _model_results(
+def _one_pass(
+    name: str, checks: ModelChecks, key: list[str], model: Callable[[str], DataFrame]
+) -> DataFrame:
+    """Every check of a model from one grouping of its rows by ``key``.
+
+    The rows of a key are counted, with their NULLs, before the one large
+    shuffle; these counts are combined again per value of the columns that have
+    accepted values or a parent, and only those meet the parents.
+    """
+    by_value = list(dict.fromkeys([*checks.accepted, *checks.references]))
+    nulls = {column: f"__nulls_{i}" for i, column in enumerate(checks.not_null)}
+    ignore_nulls = not checks.unique_together
+    duplicate = F.col("__n") > 1
+    if ignore_nulls:
+        duplicate &= F.col(key[0]).isNotNull()
+    counted = (
+        model(name)
+        .groupBy(*key)
+        .agg(
+            F.count(F.lit(1)).alias("__n"),
+            *[F.count_if(F.col(column).isNull()).alias(alias) for column, alias in nulls.items()],
+        )
+        .groupBy(*by_value)
+        .agg(
+            F.count_if(duplicate).alias("__duplicates"),
+            F.sum("__n").alias("__n"),
+            *[F.sum(alias).alias(alias) for alias in nulls.values()],
+        )
+    )
+    for i, (column, (parent, parent_column)) in enumerate(checks.references.items()):
+        known = (
+            model(parent)
+            .select(F.col(parent_column).alias(column))
+            .dropna()
+            .distinct()
+            .withColumn(f"__known_{i}", F.lit(True))
+        )
+        counted = counted.join(known, column, "left")
+
+    failures = [("not_null", column, F.sum(alias)) for column, alias in nulls.items()]
+    kind = "unique" if ignore_nulls else "unique_combination"
+    failures.append((kind, ",".join(key), F.sum("__duplicates")))
+    for column, values in checks.accepted.items():
+        unexpected = F.when(~F.col(column).isin(values), F.col(column))
+        failures.append(("accepted_values", column, F.count_distinct(unexpected)))
+    for i, column in enumerate(checks.references):
+        orphan = F.col(column).isNotNull() & F.col(f"__known_{i}").isNull()
+        failures.append(("relationships", column, F.sum(F.when(orphan, F.col("__n")))))
+    totals = counted.agg(*[total.alias(f"__{i}") for i, (_, _, total) in enumerate(failures)])
+    rows = [
+        F.struct(
+            F.lit(name).alias("model"),
+            F.lit(check).alias("check_name"),
+            F.lit(target).alias("target"),
+            F.coalesce(F.col(f"__{i}"), F.lit(0)).cast("bigint").alias("failures"),
+        )
+        for i, (check, target, _) in enumerate(failures)
+    ]
+    return totals.select(F.inline(F.array(*rows)))
+
+
+def _pass_per_check(
     name: str, checks: ModelChecks, model: Callable[[str], DataFrame]
 ) -> list[DataFrame]:
     df = model(name)
@@ -175,13 +236,25 @@ def _model_results(
     return results
 
 
+def _model_results(
+    name: str, checks: ModelChecks, model: Callable[[str], DataFrame]
+) -> list[DataFrame]:
+    """One pass where the model has one key that covers its other checks, else one per check."""
+    keys = [checks.unique_together] if checks.unique_together else []
+    keys += [[column] for column in checks.unique]
+    if len(keys) == 1 and {*checks.accepted, *checks.references} <= set(keys[0]):
+        return [_one_pass(name, checks, keys[0], model)]
+    return _pass_per_check(name, checks, model)
+
+
 def run_checks(
     models: dict[str, DataFrame], checks: dict[str, ModelChecks] | None = None
 ) -> DataFrame:
     """``(model, check_name, target, failures)``, one row per declared check.
 
     Run it on built tables, after all of them: a relationship may point at a
-    model built later. It is one plan, so independent checks run side by side.
+    model built later. It is one plan, so independent models run side by side; each
+    declared model is scanned once.
     """
     results: list[DataFrame] = []
     for name, declared in (checks or CHECKS).items():

@@ -1,17 +1,123 @@
 from datetime import timedelta
 
+import pytest
+
 from agroweather import operators as op
-from agroweather.plans import CHECKS
+from agroweather.plans import CHECKS, run_checks
+from agroweather.plans.catalog import ModelChecks, _pass_per_check
 from tests.conftest import rows, stamp
 
 
+# The declared checks of every model, written down apart from the catalog.
+DECLARED = """
+stg_weather_daily not_null fips date temperature_2m_max temperature_2m_min precipitation_sum
+stg_weather_daily not_null et0_fao_evapotranspiration solar_radiation_mjm2 _ingested_at
+stg_weather_daily unique_combination fips,date
+stg_nass_yield not_null fips commodity state_alpha year _ingested_at
+stg_nass_yield unique_combination fips,commodity,year
+stg_nass_yield accepted_values commodity
+int_weather_growing_season not_null fips year gdd precip_total_mm
+int_weather_growing_season unique_combination fips,year
+dim_county not_null fips state_alpha county_name lat lon
+dim_county unique fips
+dim_commodity not_null commodity display_name gdd_base_c bushel_weight_lb
+dim_commodity unique commodity
+dim_commodity accepted_values commodity
+dim_date not_null date year month day day_of_year is_growing_season
+dim_date unique date
+fact_weather_daily not_null fips date temperature_2m_max temperature_2m_min precipitation_sum _ingested_at
+fact_weather_daily unique_combination fips,date
+fact_weather_daily relationships fips
+fact_crop_yield not_null fips commodity state_alpha year unit _ingested_at
+fact_crop_yield unique_combination fips,commodity,year
+fact_crop_yield accepted_values commodity
+fact_crop_yield relationships fips
+weather_yield_analysis not_null fips state_alpha county_name commodity year unit
+weather_yield_analysis not_null gdd precip_total_mm heat_stress_days dry_days et0_total_mm tmax_mean
+weather_yield_analysis unique_combination fips,commodity,year
+weather_yield_analysis relationships fips commodity
+"""
+
+
 def test_declared_checks():
+    want = {
+        (model, check, target)
+        for model, check, *targets in map(str.split, DECLARED.strip().splitlines())
+        for target in targets
+    }
+    got = {
+        (model, check, target)
+        for model, declared in CHECKS.items()
+        for check, targets in (
+            ("not_null", declared.not_null),
+            ("unique", declared.unique),
+            ("unique_combination", [",".join(declared.unique_together)] if declared.unique_together else []),
+            ("accepted_values", declared.accepted),
+            ("relationships", declared.references),
+        )
+        for target in targets
+    }
+    assert got == want and len(want) == 72
     assert sum(len(checks) for checks in CHECKS.values()) == 72
-    assert sum(len(checks.not_null) for checks in CHECKS.values()) == 56
-    assert sum(len(checks.unique) for checks in CHECKS.values()) == 3
-    assert sum(bool(checks.unique_together) for checks in CHECKS.values()) == 6
-    assert sum(len(checks.accepted) for checks in CHECKS.values()) == 3
-    assert sum(len(checks.references) for checks in CHECKS.values()) == 4
+    parents = {(m, c): p for m, d in CHECKS.items() for c, p in d.references.items()}
+    assert parents == {
+        ("fact_weather_daily", "fips"): ("dim_county", "fips"),
+        ("fact_crop_yield", "fips"): ("dim_county", "fips"),
+        ("weather_yield_analysis", "fips"): ("dim_county", "fips"),
+        ("weather_yield_analysis", "commodity"): ("dim_commodity", "commodity"),
+    }
+
+
+@pytest.fixture
+def suite(spark, tmp_path):
+    """A child with every kind of failure, its parent with repeated and NULL keys, and their checks."""
+    child = [("a", 1, 1.0), ("a", 1, None), ("b", 2, 1.0), ("c", None, 1.0), ("c", None, 1.0),
+             (None, 3, 1.0), (None, 3, None), ("d", 4, 1.0)]
+    parent = [("a",), ("a",), ("b",), (None,)]
+    spark.createDataFrame(child, "k string, y int, v double").write.parquet(str(tmp_path / "child"))
+    spark.createDataFrame(parent, "id string").write.parquet(str(tmp_path / "parent"))
+    models = {name: spark.read.parquet(str(tmp_path / name)) for name in ("child", "parent")}
+    checks = {
+        "child": ModelChecks(
+            not_null=["k", "y", "v"],
+            unique_together=["k", "y"],
+            accepted={"k": ["a", "b"]},
+            references={"k": ("parent", "id")},
+        ),
+        "parent": ModelChecks(not_null=["id"], unique=["id"]),
+    }
+    want = {
+        ("child", "not_null", "k"): 2, ("child", "not_null", "y"): 2, ("child", "not_null", "v"): 2,
+        ("child", "unique_combination", "k,y"): 3, ("child", "accepted_values", "k"): 2,
+        ("child", "relationships", "k"): 3, ("parent", "not_null", "id"): 1, ("parent", "unique", "id"): 1,
+    }
+    return models, checks, want
+
+
+def test_one_pass_equals_a_pass_per_check(suite):
+    models, checks, want = suite
+    results = run_checks(models, checks)
+    assert {(m, c, t): n for m, c, t, n in rows(results)} == want and results.count() == len(want)
+    apart = [r for name, declared in checks.items()
+             for df in _pass_per_check(name, declared, models.__getitem__) for r in rows(df)]
+    assert sorted(apart) == sorted(rows(results))
+    empty = {name: df.limit(0) for name, df in models.items()}
+    assert {r.failures for r in run_checks(empty, checks).collect()} == {0}
+
+
+def test_each_model_is_scanned_once(suite):
+    models, checks, _ = suite
+    text = run_checks({**models, "parent": models["parent"].where("id IS NOT NULL")}, checks)
+    plan = text._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReadSchema: struct<k:string,y:int,v:double>") == 1
+    assert plan.count("k:string") == 1
+
+
+def test_checks_that_no_key_covers_run_apart(suite):
+    models, checks, _ = suite
+    loose = {"child": ModelChecks(not_null=["v"], unique=["y"], references={"k": ("parent", "id")})}
+    got = {(c, t): n for _, c, t, n in rows(run_checks(models, loose))}
+    assert got == {("not_null", "v"): 2, ("unique", "y"): 2, ("relationships", "k"): 3}
 
 
 def test_null_counts(spark):
