@@ -30,6 +30,11 @@ def in_season(date: Column, start: str = SEASON_START, end: str = SEASON_END) ->
     return month_day.between(_month_day_number(start), _month_day_number(end))
 
 
+def season_months(start: str = SEASON_START, end: str = SEASON_END) -> tuple[int, int]:
+    """First and last month that may hold days of the season."""
+    return _month_day_number(start) // 100, _month_day_number(end) // 100
+
+
 def crop_year(date: Column) -> Column:
     return F.year(date).cast("bigint")
 

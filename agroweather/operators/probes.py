@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from agroweather.schemas import RAW_YIELD
 from agroweather.sources.lake import table_or_none
 
-
 def year_probe(raw_yields: DataFrame, year: int) -> DataFrame:
     """One row ``(year, loaded)``; stops at the first row of that year's partition."""
     hit = raw_yields.filter(F.col("year") == F.lit(int(year))).select(F.lit(1)).limit(1)
@@ -25,6 +24,17 @@ def year_is_loaded(spark: SparkSession, raw_path: str, year: int) -> bool:
     return raw is not None and year_probe(raw, year).head().loaded
 
 
-def high_watermark(table: DataFrame, column: str = "date") -> date | None:
-    """Greatest value, or None for an empty table. A partition column reads no row data."""
-    return table.agg(F.max(column).alias("value")).head().value
+def listed_files(spark: SparkSession, path: str, column: str = "date") -> DataFrame:
+    """``(path, length, modificationTime, <column>)`` of every file below date folders.
+
+    No file is opened. A table without files has no folder level, hence no rows.
+    """
+    listing = spark.read.format("binaryFile").load(path)
+    if column not in listing.columns:
+        listing = listing.limit(0).withColumn(column, F.lit(None))
+    return listing.select("path", "length", "modificationTime", F.col(column).cast("date").alias(column))
+
+
+def high_watermark(spark: SparkSession, path: str, column: str = "date") -> date | None:
+    """Greatest value of a date partition column, or None for an empty table."""
+    return listed_files(spark, path, column).agg(F.max(column).alias("value")).head().value

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from agroweather.operators.probes import high_watermark
 from agroweather.schemas import required_columns
-from agroweather.sources.lake import is_committed, read_table, table_or_none
+from agroweather.sources.lake import is_committed, read_table
 
 REPLACE_TABLE = "table"
 REPLACE_PARTITIONS = "partitions"
@@ -105,7 +105,6 @@ def refresh_from_watermark(
     spark: SparkSession,
     source: DataFrame,
     path: str,
-    schema: StructType,
     *,
     watermark: str,
     cluster_by: Sequence[str],
@@ -121,11 +120,10 @@ def refresh_from_watermark(
     The greatest value is read to the driver first (one value), so the write
     does not read the table it replaces and the filter prunes the scan.
     """
-    target = table_or_none(spark, path, schema)
-    if target is None:
+    if not is_committed(spark, path):
         write_partitioned(source, path, watermark, cluster_by)
         return
-    latest = high_watermark(target, watermark)
+    latest = high_watermark(spark, path, watermark)
     if latest is None:
         return
     write_partitioned(

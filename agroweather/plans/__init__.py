@@ -19,6 +19,7 @@ from agroweather.plans.marts import (
     refresh_weather_fact,
     weather_yield_analysis,
 )
+from agroweather.plans.refresh import store_weather, stored_weather
 from agroweather.plans.staging import stage_weather, stage_yields
 from agroweather.plans.warehouse import (
     backfill,
@@ -55,6 +56,8 @@ __all__ = [
     "stage_weather",
     "stage_yields",
     "state_yields",
+    "store_weather",
+    "stored_weather",
     "weather_yield_analysis",
     "weather_yield_correlation",
 ]

@@ -72,7 +72,6 @@ def refresh_weather_fact(spark: SparkSession, staged: DataFrame, path: str) -> N
         spark,
         staged.select(*STAGED_WEATHER.names),
         path,
-        STAGED_WEATHER,
         watermark="date",
         cluster_by=["fips"],
     )

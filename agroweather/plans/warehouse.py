@@ -32,6 +32,7 @@ from agroweather.plans.marts import (
     refresh_weather_fact,
     weather_yield_analysis,
 )
+from agroweather.plans.refresh import store_weather, stored_weather
 from agroweather.plans.staging import stage_weather, stage_yields
 from agroweather.schemas import (
     ANALYSIS,
@@ -41,7 +42,6 @@ from agroweather.schemas import (
     DIM_DATE,
     RAW_WEATHER,
     RAW_YIELD,
-    SEASON_FEATURES,
     STAGED_WEATHER,
 )
 from agroweather.sources.lake import Lake, read_table, table_or_none
@@ -75,26 +75,30 @@ def build_models(
     calendar_start: date = CALENDAR_START,
     calendar_end: date = CALENDAR_END,
     store_staging: bool = True,
+    raw_weather_path: str | None = None,
 ) -> dict[str, DataFrame]:
     """Write the marts under the lake root and return every model by name.
 
     The deduplicated weather feeds the fact, the features and the checks, and
-    the features feed the mart and the checks. Both are written once so that
-    the full-table shuffle behind them runs once; with ``store_staging=False``
-    they stay lazy views, as the staged yields (a per-row projection) always do.
+    the features feed the mart and the checks. Both are stored so that the
+    full-table shuffle behind them runs once; where ``raw_weather`` is the table
+    in the folder ``raw_weather_path``, a later build redoes only the months and
+    years whose files changed. With ``store_staging=False`` both stay lazy views,
+    as the staged yields (a per-row projection) always do.
     """
     options = F.struct(
         F.lit(season_start).alias("season_start"),
         F.lit(season_end).alias("season_end"),
         F.lit(store_staging).alias("store_staging"),
     )
-    staged_weather = stage_weather(raw_weather)
     staged_yields = stage_yields(raw_yields)
     if store_staging:
-        staged_weather = _stored(spark, staged_weather, lake.staging("stg_weather_daily"))
-    features = season_features(staged_weather, season_start, season_end)
-    if store_staging:
-        features = _stored(spark, features, lake.staging("int_weather_growing_season"))
+        staged_weather, features = store_weather(
+            spark, raw_weather, lake, season_start, season_end, raw_weather_path
+        )
+    else:
+        staged_weather = stage_weather(raw_weather)
+        features = season_features(staged_weather, season_start, season_end)
 
     counties = _stored(spark, county_dimension(centroids), lake.mart("dim_county"))
     commodities = _stored(spark, commodity_dimension(spark), lake.mart("dim_commodity"))
@@ -146,6 +150,7 @@ def build_warehouse(
         read_table(spark, lake.raw(YIELD_TABLE), RAW_YIELD),
         centroids,
         lake,
+        raw_weather_path=lake.raw(WEATHER_TABLE),
         **options,
     )
 
@@ -166,9 +171,7 @@ def open_models(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
         "weather_yield_analysis": ANALYSIS,
     }
     if built.store_staging:
-        staged_weather = read_table(spark, lake.staging("stg_weather_daily"), STAGED_WEATHER)
-        features_path = lake.staging("int_weather_growing_season")
-        features = read_table(spark, features_path, SEASON_FEATURES)
+        staged_weather, features = stored_weather(spark, lake)
     else:
         staged_weather = stage_weather(read_table(spark, lake.raw(WEATHER_TABLE), RAW_WEATHER))
         features = season_features(staged_weather, built.season_start, built.season_end)

@@ -269,6 +269,7 @@ ORACLES: dict[str, str] = {
         "_ingested_at FROM stg_yields",
     ),
     "q_int_weather_growing_season": _statement(["features"], "SELECT * FROM features"),
+    "q_staging_refreshed": _statement(["features"], "SELECT * FROM features"),
     "q_dim_county": _statement(["counties"], "SELECT * FROM counties"),
     "q_dim_commodity": _statement(
         ["commodities", "stg_yields"],

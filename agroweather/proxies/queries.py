@@ -111,6 +111,18 @@ def fact_weather_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path, STAGED_WEATHER)
 
 
+def staging_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Season features after a build on the earlier days and a refresh with the later ones."""
+    lake = Lake(scratch_path(spark, "staging-refreshed"))
+    raw, path = views.raw_weather(spark, sf_dir), lake.raw("weather_daily")
+    earlier = F.col("date") <= F.lit(INCREMENTAL_UNTIL)
+    for days, replace in ((earlier, REPLACE_TABLE), (~earlier, REPLACE_PARTITIONS)):
+        op.write_partitioned(raw.filter(days), path, "date", ["fips"], replace)
+        loaded = read_table(spark, path, RAW_WEATHER)
+        _, found = plans.store_weather(spark, loaded, lake, raw_path=path)
+    return found
+
+
 def weather_yield_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.weather_yield_analysis(
         crop_yields(spark, sf_dir), features(spark, sf_dir), county_dimension(spark, sf_dir)
@@ -407,6 +419,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_year_loaded": year_loaded,
     "q_record_count_gate": record_count_gate,
     "q_fact_weather_recovered": fact_weather_recovered,
+    "q_staging_refreshed": staging_refreshed,
     "q_ingest_yield_twice": ingest_yield_twice,
     "q_bronze_cleared": bronze_cleared,
     "q_dq_not_null": dq_not_null,
