@@ -331,7 +331,7 @@ ORACLES: dict[str, str] = {
     "q_ingest_yield_twice": _statement(
         ["raw_yields"],
         f"""SELECT {_YIELD_PAYLOAD_COLUMNS}, {_STAMP} AS _ingested_at,
-                   'loaded,skipped' AS statuses
+                   'refused,loaded,skipped' AS statuses
             FROM raw_yields
             WHERE year = {q.YIELD_YEAR} AND statisticcat_desc = 'YIELD'
               AND commodity_desc IN ({_strings(q.YIELD_COMMODITIES)})
@@ -446,6 +446,21 @@ ORACLES: dict[str, str] = {
            SELECT 'staging', CAST(COUNT(*) AS BIGINT),
                   CAST(COUNT(DISTINCT (fips, date)) AS BIGINT) FROM stg_weather""",
     ),
+    "q_reconcile_layers": _statement(
+        ["raw_yields", "stg_yields"],
+        """SELECT layer, CAST(COUNT(*) AS BIGINT) AS n_rows,
+                  CAST(COUNT(DISTINCT (state_fips_code, county_code, commodity_desc, year)) AS BIGINT)
+                      AS n_keys
+           FROM raw_yields CROSS JOIN (VALUES ('bronze'), ('raw')) AS layers(layer) GROUP BY layer
+           UNION ALL
+           SELECT 'staging', CAST(COUNT(*) AS BIGINT),
+                  CAST(COUNT(DISTINCT (fips, commodity, year)) AS BIGINT) FROM stg_yields""",
+    ),
+    "q_backfill_two_windows": _statement(
+        ["analysis"],
+        f"""SELECT * FROM analysis WHERE year IN ({', '.join(map(str, q.BACKFILL_YEARS))})
+            AND commodity IN ({_strings([c.lower() for c in q.YIELD_COMMODITIES])})""",
+    ),
     "q_state_yield_rollup": _statement(
         ["stg_yields"],
         """SELECT state_alpha, commodity, year, AVG(yield_value) AS yield_mean,

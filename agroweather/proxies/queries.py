@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from agroweather import operators as op
 from agroweather import plans
-from agroweather.functions import bu_acre_to_t_ha, parse_yield
+from agroweather.functions import bu_acre_to_t_ha, county_fips, parse_yield
 from agroweather.operators.sinks import REPLACE_PARTITIONS, REPLACE_TABLE
 from agroweather.proxies import payloads, views
 from agroweather.schemas import ANALYSIS, RAW_WEATHER, RAW_YIELD, STAGED_WEATHER
@@ -33,6 +33,7 @@ SPLIT_YEAR = 1998
 INCREMENTAL_UNTIL = date(2000, 12, 31)
 WINDOW = (date(1995, 1, 1), date(2001, 12, 31))
 YIELD_YEAR = 1998
+BACKFILL_YEARS = [1996, 1998]
 YIELD_COMMODITIES = ["CORN", "SOYBEANS"]
 GATE_COMMODITIES = ["CORN", "SOYBEANS", "WHEAT", "OATS"]
 GATE_YEARS = list(range(1994, 2003))
@@ -199,27 +200,19 @@ def ingest_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, lake.raw("weather_daily"), RAW_WEATHER)
 
 
-def ingest_yield(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = Lake(scratch_path(spark, "ingest-yield"))
-    plans.ingest_yield_if_new(
-        spark,
-        _landed_yields(spark, sf_dir),
-        lake,
-        one_per_file=False,
-        year=YIELD_YEAR,
-        commodities=YIELD_COMMODITIES,
-        states=YIELD_STATES,
-        limit=10**9,
-        ingested_at=STAMP,
+def _largest_cell(spark: SparkSession, sf_dir: str) -> int:
+    """Records of the largest commodity, state and year that the yield load asks for."""
+    asked = views.raw_yields(spark, sf_dir).filter(
+        (F.col("year") == YIELD_YEAR)
+        & (F.col("statisticcat_desc") == "YIELD")
+        & F.col("commodity_desc").isin(YIELD_COMMODITIES)
     )
-    return read_table(spark, lake.raw("nass_yield"), RAW_YIELD)
+    return op.record_counts(asked).agg(F.coalesce(F.max("n_records"), F.lit(0))).head()[0]
 
 
-def ingest_yield_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A load, and a later one that finds the year loaded and skips."""
-    lake, landed = Lake(scratch_path(spark, "ingest-twice")), _landed_yields(spark, sf_dir)
-    statuses = [
-        plans.ingest_yield_if_new(
+def _yield_load(spark: SparkSession, landed: str, lake: Lake, limit: int, stamp: datetime) -> str:
+    try:
+        return plans.ingest_yield_if_new(
             spark,
             landed,
             lake,
@@ -227,15 +220,67 @@ def ingest_yield_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
             year=YIELD_YEAR,
             commodities=YIELD_COMMODITIES,
             states=YIELD_STATES,
-            limit=10**9,
+            limit=limit,
             ingested_at=stamp,
         ).status
-        for stamp in (STAMP, STAMP + timedelta(days=1))
+    except op.RecordLimitExceeded:
+        return "refused"
+
+
+def ingest_yield(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load whose largest cell is one record below the gate's limit."""
+    lake = Lake(scratch_path(spark, "ingest-yield"))
+    landed = _landed_yields(spark, sf_dir)
+    _yield_load(spark, landed, lake, _largest_cell(spark, sf_dir) + 1, STAMP)
+    return read_table(spark, lake.raw("nass_yield"), RAW_YIELD)
+
+
+def ingest_yield_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that the gate refuses, one that it lets pass, and one that finds the year loaded."""
+    lake, landed = Lake(scratch_path(spark, "ingest-twice")), _landed_yields(spark, sf_dir)
+    largest = _largest_cell(spark, sf_dir)
+    statuses = [
+        _yield_load(spark, landed, lake, largest + room, STAMP + timedelta(days=later))
+        for later, room in ((0, 0), (0, 1), (1, 1))
     ]
     loaded = read_table(spark, lake.raw("nass_yield"), RAW_YIELD)
     return loaded.withColumn("statuses", F.lit(",".join(statuses)))
 
 
+def backfill_two_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart after backfills of two years one after the other, both kept."""
+    root = scratch_path(spark, "backfill")
+    lake, raw = Lake(f"{root}/lake"), views.raw_weather(spark, sf_dir)
+    observed = views.counties(spark, sf_dir).join(raw.select("fips"), "fips", "left_semi")
+    observed.write.parquet(f"{root}/points")
+    points = spark.read.parquet(f"{root}/points")
+    responses = payloads.weather_payloads(raw, op.point_batches(points, BATCH_SIZE))
+    responses.write.partitionBy("batch_id").text(f"{root}/weather")
+    landed = _landed_yields(spark, sf_dir)
+    n_counties = views.raw_yields(spark, sf_dir).select("state_fips_code", "county_code").distinct().count()
+    for year in BACKFILL_YEARS:
+        _, models, _ = plans.backfill(
+            spark,
+            lake,
+            weather_payloads=f"{root}/weather",
+            yield_payloads=landed,
+            points=points,
+            weather_start=date(year, 1, 1),
+            weather_end=date(year, 12, 31),
+            year=year,
+            replace=REPLACE_PARTITIONS,
+            weather_options={"batch_size": BATCH_SIZE, "ingested_at": STAMP},
+            yield_options={
+                "one_per_file": False,
+                "commodities": YIELD_COMMODITIES,
+                "states": YIELD_STATES,
+                "limit": 1 + n_counties,
+                "ingested_at": STAMP,
+            },
+        )
+    return models["weather_yield_analysis"]
+
+
 def bronze_cleared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yields landed twice side by side; an empty frame clears one of the folders only."""
     lake, raw = Lake(scratch_path(spark, "cleared")), views.raw_yields(spark, sf_dir)
@@ -385,6 +430,21 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.reconcile({"raw": raw, "staging": plans.stage_weather(raw)}, ["fips", "date"])
 
 
+def reconcile_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yields from bronze over raw to staging, by county, commodity and year."""
+    lake = Lake(scratch_path(spark, "layers"))
+    _load_yields(spark, views.raw_yields(spark, sf_dir), lake, REPLACE_TABLE)
+    key = [
+        county_fips(F.col("state_fips_code"), F.col("county_code")).alias("fips"),
+        F.lower("commodity_desc").alias("commodity"),
+        "year",
+    ]
+    bronze = read_table(spark, lake.bronze("nass_yield"), RAW_YIELD)
+    raw = read_table(spark, lake.raw("nass_yield"), RAW_YIELD)
+    layers = {"bronze": bronze.select(*key), "raw": raw.select(*key), "staging": plans.stage_yields(raw)}
+    return op.reconcile(layers, ["fips", "commodity", "year"])
+
+
 def state_yield_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.state_yields(crop_yields(spark, sf_dir))
 
@@ -432,6 +492,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_dq_weather_ranges": dq_weather_ranges,
     "q_freshness": freshness,
     "q_reconcile": reconcile,
+    "q_reconcile_layers": reconcile_layers,
+    "q_backfill_two_windows": backfill_two_windows,
     "q_state_yield_rollup": state_yield_rollup,
     "q_weather_yield_corr": weather_yield_corr,
 }
