@@ -30,6 +30,25 @@ CACHED_WORDS = 120_000  # of one generation
 # What the public tokenizers library takes as white space.
 SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PYTHON_ONLY_SPACE = "\x1c\x1d\x1e\x1f"  # for str.split, not for the library
+NO_CHARACTER = "\uffff"
+# Letters and numbers that the tokenizers library knows beyond Python's tables.
+NEWER = (
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D40, 0x10D65),
+    (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E),
+    (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x116D0, 0x116E3),
+    (0x11BC0, 0x11BE0), (0x11BF0, 0x11BF9), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16130, 0x16139),
+    (0x16D40, 0x16D6C), (0x16D70, 0x16D79), (0x18CFF, 0x18CFF), (0x1CCF0, 0x1CCF9), (0x1E5D0, 0x1E5ED),
+    (0x1E5F0, 0x1E5FA),
+)
+# First and last capital, distance to the small letter.
+NEWER_CAPITALS = (
+    (0x1C89, 0x1C89, 1), (0xA7CB, 0xA7CB, 0x264 - 0xA7CB), (0xA7CC, 0xA7CC, 1), (0xA7CE, 0xA7CE, 1),
+    (0xA7D2, 0xA7D2, 1), (0xA7D4, 0xA7D4, 1), (0xA7DA, 0xA7DA, 1), (0xA7DC, 0xA7DC, 0x19B - 0xA7DC),
+    (0x10D50, 0x10D65, 0x20), (0x16EA0, 0x16EB8, 0x1B),
+)
+NEWER_SMALL = {
+    point: point + distance for first, last, distance in NEWER_CAPITALS for point in range(first, last + 1)
+}
 
 ENCODED = "doc_id long, ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string"
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -44,6 +63,13 @@ def byte_letters() -> dict[int, str]:
     }
 
 
+def unassigned(letter: str) -> bool:
+    """Whether the tokenizers library has no category for a character."""
+    if unicodedata.category(letter) != "Cn":
+        return False
+    return not any(first <= ord(letter) <= last for first, last in NEWER)
+
+
 class Bpe:
     """Encoder and decoder of one vocabulary file."""
 
@@ -105,13 +131,25 @@ class Bpe:
             offer(at)
         return [symbol for symbol in symbols if symbol >= 0]
 
+    def pieces_of(self, text: str) -> list[str]:
+        """The words of a lower-cased run without white space.
+
+        The regex module knows letters and numbers that the library's older
+        tables leave unassigned; those split like signs.
+        """
+        if text.isascii() or "Cn" not in set(map(unicodedata.category, text)):
+            return self.pieces.findall(text)
+        text = text.translate(NEWER_SMALL)
+        plain = "".join(NO_CHARACTER if unassigned(c) else c for c in text)
+        return [text[slice(*match.span())] for match in self.pieces.finditer(plain)]
+
     def encode_chunk(self, chunk: str) -> bytes:
         """Ids of a run without white space, as little-endian 32-bit integers."""
         text = unicodedata.normalize("NFC", chunk)
         # a capital sigma is lowered without a look at its neighbours
         text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
         words, ids = self.words, []
-        for piece in self.pieces.findall(text):
+        for piece in self.pieces_of(text):
             found = words.get(piece)
             if found is None:
                 found = self.merge_word(piece.encode())
