@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -104,14 +105,22 @@ def entropy_spans(candidate: str, least: float) -> list[tuple[int, int]]:
 
 def added_spans(text: str, base: list[Span]) -> list[Span]:
     """High-entropy spans outside the base spans and the allow list."""
-    found = []
+    found: list[Span] = []
+    covered: list[tuple[int, int]] = []  # base spans joined, in order
+    for _, start, end in sorted(base, key=lambda span: span[1:]):
+        if covered and start <= covered[-1][1]:
+            covered[-1] = covered[-1][0], max(end, covered[-1][1])
+        else:
+            covered.append((start, end))
+    starts = [start for start, _ in covered]
     for match in CANDIDATE.finditer(text):
         candidate, at = match[0], match.start()
         if any(allowed.fullmatch(candidate) for allowed in ALLOWED):
             continue
         least = next(least for _, form, least in CLASSES if form.fullmatch(candidate))
         for start, end in entropy_spans(candidate, least):
-            if not any(s < at + end and at + start < e for _, s, e in base):
+            before = bisect_left(starts, at + end)  # base spans from here on start behind it
+            if not before or covered[before - 1][1] <= at + start:
                 found.append(("entropy", at + start, at + end))
     return found
 
