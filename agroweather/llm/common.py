@@ -7,7 +7,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from agroweather.session import scratch_path
@@ -38,6 +38,24 @@ def in_fold(doc_id: object, parts: int, part: int) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % parts == part
 
 
+def bounded_sample(rows: DataFrame, group: str, rows_each: int, bytes_each: int) -> DataFrame:
+    """Rows ``group, order, text`` for fitting a model: the smallest ``order`` of each group first.
+
+    A group gives at most ``rows_each`` texts of ``bytes_each`` together; a text
+    over a 64th of that is not taken, so a few long texts cannot fill the driver.
+    Rows of one group and order are one, the smallest text. Sizes are ranked, not texts.
+    """
+    one = stored(rows.groupBy(group, "order").agg(F.min("text").alias("text")), "sample")
+    first = Window.partitionBy(group).orderBy("order")
+    taken = (
+        one.select(group, "order", F.octet_length("text").cast("long").alias("size"))
+        .where(F.coalesce("size", F.lit(0)) <= bytes_each // 64)
+        .select(group, "order", F.row_number().over(first).alias("place"), F.sum("size").over(first).alias("size"))
+        .where((F.col("place") <= rows_each) & (F.coalesce("size", F.lit(0)) <= bytes_each))
+    )
+    return one.join(taken.select(group, "order"), [group, "order"])
+
+
 def sha256(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 

@@ -5,7 +5,8 @@ Method: sparse multinomial logistic regression on TF-IDF weights of character
 rates, elastic-net penalty) and calibrated by a temperature on rows left out of
 the training. Document frequencies are counted over all training documents;
 the weights are fitted on a bounded sample of them, ``SAMPLE_PER_LANGUAGE``
-rows a language chosen by a hash of the id. Scoring is one map.
+rows a language chosen by a hash of the id, ``SAMPLE_BYTES`` of text at most.
+Scoring is one map.
 
 Training rows have a text and a language and are outside the held-out fold.
 Predictions use the text alone.
@@ -26,11 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agroweather.llm.common import fold, in_fold, slices
+from agroweather.llm.common import bounded_sample, fold, in_fold, slices, stored
 
 FOLDS, HELD_OUT = 3, 1
 BUCKETS = 1 << 15
 SAMPLE_PER_LANGUAGE = 1000
+SAMPLE_BYTES = 16 << 20  # of a language's sampled texts together; none over a 64th of it
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.02
 CALIBRATION_SHARE = 5  # one in five sample rows sets the temperature
@@ -101,18 +103,15 @@ def document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def sample_rows(train: DataFrame, per_language: int) -> list[tuple]:
-    """At most ``per_language`` rows of each language, those with the smallest hashed ids."""
-    sizes = train.groupBy("lang").count().collect()
-    rows: list[tuple] = []
-    for lang, count in sorted(sizes):
-        share = min(1.0, 1.5 * per_language / count + 20 / count)
-        near = train.where(F.col("lang") == lang).where(
-            F.col("order") < F.lit(int(share * ((1 << 31) - 1)) + 1)
-        )
-        rows += [
-            (lang, *row) for row in near.orderBy("order").limit(per_language).select("text", "order").collect()
-        ]
-    return rows
+    """At most ``per_language`` rows of each language, those with the smallest hashed ids.
+
+    The languages are counted first, so that most texts go before any is shuffled.
+    """
+    sizes = stored(train.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "languages")
+    share = (1.5 * per_language + 20) / F.col("rows")
+    near = train.join(sizes, "lang").where(F.col("order") <= share * ((1 << 31) - 1))
+    sample = bounded_sample(near.select("lang", "order", "text"), "lang", per_language, SAMPLE_BYTES)
+    return [tuple(row) for row in sample.select("lang", "text", "order").collect()]
 
 
 def fit(rows: list[tuple], idf: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray, float]:

@@ -5,8 +5,9 @@ passages of ``PASSAGE_BYTES`` bytes; every passage of the whole text is encoded
 from its byte and byte-class-pair counts, gated attention weights are learned
 from document labels only, and the attention-weighted passage representation
 is scored. The network is fitted on a bounded sample of labelled rows,
-``SAMPLE_PER_LABEL`` a label, chosen by a hash of the id; scoring is one map
-that holds one slice of a text's passages at a time.
+``SAMPLE_PER_LABEL`` a label, chosen by a hash of the id, ``SAMPLE_BYTES`` of
+text at most; scoring is one map that holds one slice of a text's passages at a
+time.
 
 Training labels come only from rows outside the held-out fold. Scores use the
 text alone.
@@ -27,11 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agroweather.llm.common import fold, slices, texts
+from agroweather.llm.common import bounded_sample, fold, slices, texts
 
 FOLDS, HELD_OUT = 4, 2
 PASSAGE_BYTES = 512
 SAMPLE_PER_LABEL = 2000
+SAMPLE_BYTES = 32 << 20  # of a label's sampled texts together; none over a 64th of it
 HIDDEN, ATTENTION = 16, 8
 EPOCHS, BATCH, RATE, DECAY = 25, 32, 0.01, 1e-4
 THRESHOLD = 0.7
@@ -236,9 +238,10 @@ def training_bags(docs: DataFrame, labels: DataFrame, per_label: int) -> tuple[l
 
     # the list of wanted ids is bounded by the parameter, whatever the corpus holds
     chosen = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(wanted), "doc_id")
-    one = chosen.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    keyed = chosen.select("quality", F.struct("order", "doc_id").alias("order"), "text")
     rows = (
-        one.select("quality", "text", "doc_id")
+        bounded_sample(keyed, "quality", per_label, SAMPLE_BYTES)
+        .select("quality", "text", "order.doc_id")
         .mapInArrow(run, "doc_id long, label int, first long, rows long, at binary, counts binary")
         .collect()
     )
