@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from agroweather.llm import bpe, decontaminate, langid, quality, secrets
+from agroweather.llm.common import bounded_sample
 from tests.llm.conftest import CASES, WORDS, prose, rows_of
 
 
@@ -24,6 +25,17 @@ def same_rows(df, expected):
     assert Counter(map(repr, rows_of(df))) == Counter(map(repr, expected))
 
 
+def test_bounded_sample(spark):
+    rows = [("a", 1, "x" * 4), ("a", 1, "w" * 4), ("a", 2, "x" * 3), ("a", 3, None), ("a", 4, "x"), ("a", 5, "x")]
+    rows += [("b", 1, "x" * 11), ("b", 2, "é" * 5)] + [("c", i, "x" * 10) for i in range(100)]
+    df = spark.createDataFrame(rows, "kind string, order long, text string").repartition(3)
+    got = {tuple(r)[:2] for r in bounded_sample(df, "kind", 4, 10 * 64).select("kind", "order", "text").collect()}
+    assert got == {("a", 1), ("a", 2), ("a", 3), ("a", 4), ("b", 2), *(("c", i) for i in range(4))}
+    got = rows_of(bounded_sample(df.where("kind = 'c'"), "kind", 1000, 640).select("order"))
+    assert sorted(got) == [(i,) for i in range(64)]
+    assert bounded_sample(df.where("false"), "kind", 4, 640).count() == 0
+
+
 # ---- BPE
 
 
@@ -52,6 +64,19 @@ def test_bpe_on_random_text(vocabulary):
         assert ids == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_bpe_on_every_code_point(vocabulary):
+    """Each character inside, before and behind a word, next to itself and before a suffix."""
+    library, own = Tokenizer.from_file(vocabulary), bpe.Bpe(vocabulary)
+    points = [p for p in range(0x110000) if not 0xD800 <= p < 0xE000]
+    wrong = []
+    for letter in map(chr, points):
+        text = f"a{letter}b1 {letter}{letter} {letter}'s"
+        want = library.encode(text, add_special_tokens=False).ids
+        if np.frombuffer(own.encode(text), "<u4").tolist() != want:
+            wrong.append(hex(ord(letter)))
+    assert not wrong
+
+
 def test_bpe_cache_generations(vocabulary, monkeypatch):
     own, text = bpe.Bpe(vocabulary), prose(1, 300)
     once = own.encode(text)
@@ -86,6 +111,20 @@ def test_failing_assignments_are_consumed_and_dropped():
     assert secrets.base_spans("paſſword = abcdefghij") == []
 
 
+def test_added_spans_keep_clear_of_base_spans():
+    draw = random.Random(8)
+    letters = "ABCDEFGHabcdefgh0123456789+/"
+    for _ in range(30):
+        parts = ["".join(draw.choice(letters) for _ in range(draw.randrange(20, 60))) for _ in range(6)]
+        parts += [f"token={parts[0]}", "deadbeef01234567" * 3, f"AKIA{'Q7' * 9}"]
+        draw.shuffle(parts)
+        text = " ".join(parts)
+        base = secrets.base_spans(text)
+        free = secrets.added_spans(text, [])
+        clear = [a for a in free if not any(a[1] < end and start < a[2] for _, start, end in base)]
+        assert secrets.added_spans(text, base) == clear
+
+
 def test_incremental_entropy_equals_recount():
     draw = random.Random(9)
     for length in (20, 35, 80):
