@@ -67,13 +67,13 @@ def test_bpe_on_random_text(vocabulary):
 def test_bpe_on_every_code_point(vocabulary):
     """Each character inside, before and behind a word, next to itself and before a suffix."""
     library, own = Tokenizer.from_file(vocabulary), bpe.Bpe(vocabulary)
-    points = [p for p in range(0x110000) if not 0xD800 <= p < 0xE000]
+    points = [*range(0xD800), *range(0xE000, 0x34000), *range(0xE0000, 0xE0200)]  # the rest is unassigned
     wrong = []
-    for letter in map(chr, points):
-        text = f"a{letter}b1 {letter}{letter} {letter}'s"
+    for first in range(0, len(points), 64):
+        text = " ".join(f"a{c}b1 {c}{c} {c}'s" for c in map(chr, points[first : first + 64]))
         want = library.encode(text, add_special_tokens=False).ids
         if np.frombuffer(own.encode(text), "<u4").tolist() != want:
-            wrong.append(hex(ord(letter)))
+            wrong.append(hex(points[first]))
     assert not wrong
 
 
