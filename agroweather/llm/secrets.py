@@ -43,10 +43,11 @@ CLASSES = (
     ("alnum", re.compile(r"[A-Za-z0-9]+"), 3.7),
     ("base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 3.8),
 )
-# Random by design or plain by form: UUIDs, paths and names of lower-case words, numbers.
+# Random by design or plain by form: UUIDs, paths and names of lower-case or capitalised words,
+# numbers. A word stands between separators, so each text fits a form in one way only: no backtracking.
 ALLOWED = (
     re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),
-    re.compile(r"[A-Za-z]*([/_=-]+[A-Za-z]*)*"),
+    re.compile(r"[/_=-]*([A-Z][a-z]*|[a-z]+)([/_=-]+([A-Z][a-z]*|[a-z]+))*[/_=-]*"),
     re.compile(r"[0-9/_=+-]+"),
     re.compile(r"([a-z]+|[0-9]{1,4})([/_-]+([a-z]+|[0-9]{1,4}))*"),
 )

@@ -4,6 +4,8 @@ import hashlib
 import math
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -147,6 +149,24 @@ def test_added_spans_and_allow_list():
         assert secrets.added_spans(plain, []) == []
 
 
+def test_random_letters_are_no_words():
+    for key in ("QmXkPzRtVbNhJyLwSdFgTeUc", "QMXKPZRTVBNHJYLWSDFGTEUC", "qmXkPzRtVb_NhJyLwSdFg-TeUc"):
+        assert secrets.added_spans(f"see {key} here", []) == [("entropy", 4, 4 + len(key))]
+    for plain in ("/usr/Local/share/some/Words=", "Some_capitalised-names/of_Words"):
+        assert secrets.added_spans(plain, []) == []
+
+
+def test_long_separator_runs_end():
+    script = (
+        "from agroweather.llm import secrets\n"
+        "for run in '-_=/':\n"
+        "    for end in ('1', '+', 'a1', 'a' * 5000 + '+'):\n"
+        "        secrets.added_spans(run * 5000 + end, [])\n"
+        "secrets.added_spans('ab-' * 5000 + '1+', [])\n"
+    )
+    subprocess.run([sys.executable, "-c", script], check=True, timeout=60)
+
+
 # ---- decontamination
 
 
