@@ -1,10 +1,13 @@
 """License scan (operator 6), DataFrame functions only.
 
-Method: sentence-rule recognition. A text is cut into sentences at line ends and
-at ``.``, ``!`` or ``?`` before a blank; a sentence is normalised to lower-case
-ASCII letters and digits with single blanks between, and mapped to the
-identifier of a known licence sentence or dropped. A licence is recognised
-where the identifiers that are left hold one of its rules, a sequence of
+Method: sentence-rule recognition. A text is cut into sentences at ``.``, ``!``
+or ``?`` before a blank or line end (not after the ``v.`` of a version number)
+and at lines without letters and digits; it is normalised to lower-case ASCII
+letters and digits with single blanks between. A known licence sentence is
+found where it fills a whole sentence, or whole lines of one, however it is
+wrapped into lines, and is mapped to its identifier; all else is dropped. Where
+several known sentences start on one line, the longest is taken. A licence is recognised
+where the identifiers hold one of its rules, a sequence of
 identifiers in order and next to each other. Rows are independent: one map.
 
 Defined results: a NULL or empty text has no sentences and no licence; a NULL
@@ -43,25 +46,77 @@ SENTENCES = {
         "this source code form is subject to the terms of the mozilla public license v 2 0"
     ),
     "public-domain": "this is free and unencumbered software released into the public domain",
+    "mit-grant": (
+        "permission is hereby granted free of charge to any person obtaining a copy of this software "
+        "and associated documentation files the software to deal in the software without restriction "
+        "including without limitation the rights to use copy modify merge publish distribute sublicense "
+        "and or sell copies of the software and to permit persons to whom the software is furnished to "
+        "do so subject to the following conditions"
+    ),
+    "mit-condition": (
+        "the above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the software"
+    ),
+    "bsd-grant": (
+        "redistribution and use in source and binary forms with or without modification are permitted "
+        "provided that the following conditions are met"
+    ),
+    "bsd-source": (
+        "redistributions of source code must retain the above copyright notice this list of conditions "
+        "and the following disclaimer"
+    ),
+    "bsd-binary": (
+        "redistributions in binary form must reproduce the above copyright notice this list of "
+        "conditions and the following disclaimer in the documentation and or other materials provided "
+        "with the distribution"
+    ),
+    "bsd-names": (
+        "neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written permission"
+    ),
+    "bsd-disclaimer": (
+        "this software is provided by the copyright holders and contributors as is and any express or "
+        "implied warranties including but not limited to the implied warranties of merchantability and "
+        "fitness for a particular purpose are disclaimed"
+    ),
+    "gpl3-header": (
+        "this program is free software you can redistribute it and or modify it under the terms of the "
+        "gnu general public license as published by the free software foundation either version 3 of "
+        "the license or at your option any later version"
+    ),
 }
 # Licence and the sentence sequences that show it, in order of report.
 RULES = (
-    ("MIT", (("mit-notice",), ("mit-notice-2",), ("mit-title",), ("mit-title-2",))),
+    ("MIT", (("mit-notice",), ("mit-notice-2",), ("mit-title",), ("mit-title-2",), ("mit-grant", "mit-condition"))),
     ("Apache-2.0", (("apache-notice",), ("apache-notice-2",), ("apache-title", "apache-version"))),
-    ("GPL-3.0", (("gpl3-notice",), ("gpl3-notice-2",), ("gpl-title", "gpl3-version"))),
+    ("GPL-3.0", (("gpl3-notice",), ("gpl3-notice-2",), ("gpl-title", "gpl3-version"), ("gpl3-header",))),
     ("CC-BY-NC-4.0", (("cc-by-nc-4-notice",),)),
     ("CC-BY-4.0", (("cc-by-4-notice",),)),
-    ("BSD-3-Clause", (("bsd3-title",),)),
+    ("BSD-3-Clause", (("bsd3-title",), ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names"))),
     ("MPL-2.0", (("mpl2-notice",),)),
     ("Unlicense", (("public-domain",),)),
+    ("BSD-2-Clause", (("bsd-grant", "bsd-source", "bsd-binary", "bsd-disclaimer"),)),
 )
 
 
-def sentences_of(text: Column) -> Column:
-    """Normalised sentences in order."""
-    cut = F.regexp_replace(F.coalesce(text, F.lit("")), r"[.!?][\x20\x09\x0D]+", "\n")
+def plain_lines(text: Column) -> Column:
+    """Normalised lines; an empty line stands between sentences."""
+    kept = F.regexp_replace(
+        F.coalesce(text, F.lit("")), r"(?<![A-Za-z0-9])([vV])\.(?=[\x20\x09\x0D\n]+[0-9])", "$1 "
+    )
+    cut = F.regexp_replace(kept, r"[.!?](?=[\x20\x09\x0D\n])", "\n\n")
     plain = F.regexp_replace(lower_ascii(cut), r"[^a-z0-9\n]+", " ")
-    return F.transform(F.split(plain, "\n", -1), lambda sentence: F.trim(sentence))
+    return F.regexp_replace(plain, r"\x20?\n\x20?", "\n")
+
+
+def known_form(sentences: dict[str, str]) -> str:
+    """Expression for a known sentence that fills whole lines; line ends may stand for its blanks.
+
+    The longest comes first, so it wins where several start together.
+    """
+    longest = sorted(sentences.values(), key=len, reverse=True)
+    shown = "|".join(text.replace(" ", r"[\x20\n]") for text in longest)
+    return rf"(?m)^\x20?(?:{shown})(?=\x20?$)"
 
 
 def scan_licenses(
@@ -76,9 +131,9 @@ def scan_licenses(
     """
     pairs = [F.lit(value) for name, text in sentences.items() for value in (text, name)]
     known = F.create_map(*pairs)
-    found = F.filter(
-        F.transform(sentences_of(F.col("text")), lambda sentence: F.try_element_at(known, sentence)),
-        lambda name: name.isNotNull(),
+    matches = F.regexp_extract_all(plain_lines(F.col("text")), F.lit(known_form(sentences)), F.lit(0))
+    found = F.transform(
+        matches, lambda match: F.try_element_at(known, F.trim(F.translate(match, "\n", " ")))
     )
     ids = F.concat(F.lit(","), F.array_join("found", ","), F.lit(","))
     shown = []

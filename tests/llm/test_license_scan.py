@@ -37,3 +37,68 @@ def test_statement(spark):
     docs = spark.createDataFrame(CASES, "doc_id long, text string")
     got = sorted(tuple(row) for row in license_scan.scan_licenses(docs).collect())
     assert got == sorted(con.execute(LICENSE_SCAN).fetchall())
+
+
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+NAMES = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+DISCLAIMER = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER BE LIABLE.
+"""
+NOTICES = {
+    "Apache-2.0": APACHE,
+    "MPL-2.0": MPL,
+    "GPL-3.0": GPL,
+    "MIT": MIT,
+    "BSD-2-Clause": BSD + DISCLAIMER,
+    "BSD-3-Clause": BSD + NAMES + DISCLAIMER,
+}
+
+
+def test_wrapped_notices(spark):
+    """Standard notices, as wrapped, as comments, below a copyright line, and wrapped after each word."""
+    rows, want = [], []
+    for name, notice in NOTICES.items():
+        commented = "".join(f" * {line}\r\n" for line in notice.split("\n"))
+        narrow = "\n\n".join("\n".join(part.split()) for part in notice.split("\n\n"))
+        for text in (notice, commented, f"# Copyright 2020 Someone\n{notice}", narrow):
+            want.append((len(rows), name))
+            rows.append((len(rows), text))
+    rows.append((len(rows), "Licensed under the\n\nMIT License and others. Released under. the MIT license text"))
+    want.append((len(want), ""))
+    got = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((row.doc_id, row.licenses) for row in got.collect()) == want
