@@ -49,4 +49,48 @@ SELECT doc_id, coalesce(n, 0) AS n_sentences, coalesce(trim(ids, ','), '') AS se
 FROM documents LEFT JOIN found USING (doc_id)
 """
 
-ORACLES = {"op1_line_dedup": LINE_DEDUP, "op6_license_scan": LICENSE_SCAN}
+_WHOLE_VECTORS = """
+WITH valid AS (
+    SELECT vec_id, label, list_transform(embedding, x -> CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+)"""
+_PRODUCT = """CAST(coalesce(list_sum(list_transform(
+        generate_series(1, len({a}.v)), i -> {a}.v[i] * {b}.v[i])), 0) AS BIGINT)"""
+HARD_NEGATIVES = f"""{_WHOLE_VECTORS.format(scale=256)}, rows AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, v
+    FROM valid WHERE label IS NOT NULL
+), scored AS (
+    SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id, {_PRODUCT.format(a="a", b="c")} AS score
+    FROM rows a JOIN rows c ON len(a.v) = len(c.v) AND a.vec_id <> c.vec_id
+    WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+    FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), found AS (
+    SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+           row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS place
+    FROM positives p JOIN scored s USING (anchor_id)
+    WHERE NOT s.same AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM found WHERE place <= 3
+"""
+TOP_PRODUCTS = f"""{_WHOLE_VECTORS.format(scale=1024)}, scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, {_PRODUCT.format(a="q", b="c")} AS score
+    FROM valid q JOIN valid c ON len(q.v) = len(c.v) AND q.vec_id <> c.vec_id
+    WHERE q.vec_id % 100 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 10
+"""
+
+ORACLES = {
+    "op1_line_dedup": LINE_DEDUP,
+    "op6_license_scan": LICENSE_SCAN,
+    "op11_hard_negatives": HARD_NEGATIVES,
+    "op13_top_products": TOP_PRODUCTS,
+}

@@ -8,10 +8,13 @@ from agroweather.llm import (
     bpe,
     decontaminate,
     embedding_join,
+    hard_negatives,
+    inner_products,
     langid,
     license_scan,
     line_dedup,
     ngram_join,
+    periodic_runs,
     quality,
     secrets,
     url_filter,
@@ -73,6 +76,18 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine_negatives(hard_negatives.relabelled(table(spark, sf_dir, "embeddings")))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(periodic_runs.plant_runs(table(spark, sf_dir, "documents")))
+
+
+def op13_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inner_products.top_products(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_language_id": op2_language_id,
@@ -84,4 +99,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_decontamination": op9_decontamination,
     "op10_secrets": op10_secrets,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_top_products": op13_top_products,
 }
