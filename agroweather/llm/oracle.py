@@ -51,13 +51,13 @@ FROM documents LEFT JOIN found USING (doc_id)
 
 _WHOLE_VECTORS = """
 WITH valid AS (
-    SELECT vec_id, label, list_transform(embedding, x -> CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
     FROM embeddings
     WHERE embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
 )"""
 _PRODUCT = """CAST(coalesce(list_sum(list_transform(
-        generate_series(1, len({a}.v)), i -> {a}.v[i] * {b}.v[i])), 0) AS BIGINT)"""
+        generate_series(1, len({a}.v)), lambda i: {a}.v[i] * {b}.v[i])), 0) AS BIGINT)"""
 HARD_NEGATIVES = f"""{_WHOLE_VECTORS.format(scale=256)}, rows AS (
     SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, v
     FROM valid WHERE label IS NOT NULL
