@@ -1,5 +1,8 @@
 from agroweather.operators.batching import point_batches
 from agroweather.operators.checks import (
+    broken_rules,
+    content_digest,
+    differing_groups,
     duplicate_keys,
     freshness,
     null_counts,
@@ -16,6 +19,7 @@ from agroweather.operators.gate import (
     work_list,
 )
 from agroweather.operators.probes import high_watermark, year_is_loaded, year_probe
+from agroweather.operators.publish import recover
 from agroweather.operators.sinks import (
     RequiredFieldError,
     land_bronze,
@@ -23,11 +27,15 @@ from agroweather.operators.sinks import (
     refresh_from_watermark,
     require_not_null,
     write_partitioned,
+    write_table,
 )
 
 __all__ = [
     "RecordLimitExceeded",
     "RequiredFieldError",
+    "broken_rules",
+    "content_digest",
+    "differing_groups",
     "duplicate_keys",
     "enforce_record_limit",
     "freshness",
@@ -41,11 +49,13 @@ __all__ = [
     "point_batches",
     "reconcile",
     "record_counts",
+    "recover",
     "refresh_from_watermark",
     "require_not_null",
     "unexpected_values",
     "work_list",
     "write_partitioned",
+    "write_table",
     "year_is_loaded",
     "year_probe",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -65,6 +65,16 @@ def out_of_range(
     return df.filter(reduce(lambda a, b: a | b, bounds))
 
 
+def broken_rules(df: DataFrame, rules: dict[str, str]) -> DataFrame:
+    """Rows for which a condition is false, with the names of those conditions in ``failed``.
+
+    Conditions are SQL; one that is NULL for a row passes. One scan for all rules.
+    """
+    names = [F.when(~F.expr(rule), F.lit(name)) for name, rule in rules.items()]
+    broken = reduce(lambda a, b: a | b, [~F.expr(rule) for rule in rules.values()])
+    return df.where(F.coalesce(broken, F.lit(False))).withColumn("failed", F.array_compact(F.array(*names)))
+
+
 def freshness(df: DataFrame, stamp: str, now: datetime, max_age: timedelta) -> DataFrame:
     """One row ``(latest, age_seconds, stale)`` against a given instant; empty is stale."""
     age = F.unix_timestamp(F.lit(now)) - F.unix_timestamp("latest")
@@ -93,3 +103,49 @@ def reconcile(layers: dict[str, DataFrame], keys: list[str]) -> DataFrame:
         )
 
     return reduce(DataFrame.unionByName, [totals(name, df) for name, df in layers.items()])
+
+
+def content_digest(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """``(by, n_rows, hash_sum, hash_xor)``: each group's rows as a bag, whatever their order.
+
+    Partial sums are combined before the shuffle: one row per group and task.
+    """
+
+    def hashed(seed: int) -> Column:
+        return F.xxhash64(F.lit(seed), *columns)
+
+    return df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(hashed(0).cast("decimal(20,0)")).alias("hash_sum"),
+        F.bit_xor(hashed(1)).alias("hash_xor"),
+    )
+
+
+def differing_groups(
+    left: DataFrame, right: DataFrame, by: list[str], columns: list[str]
+) -> DataFrame:
+    """``(by, left_rows, right_rows)`` of the groups whose rows differ between two layers.
+
+    A group is compared by its number of rows and two digests of their content, so one
+    changed value is found though all counts agree. NULL is a group of its own; a
+    group that a layer lacks has no rows there.
+    """
+    sides = [
+        content_digest(df, by, columns).select(
+            *[F.col(name).alias(f"{side}_{name}") for name in by],
+            F.col("n_rows").alias(f"{side}_rows"),
+            F.struct("n_rows", "hash_sum", "hash_xor").alias(f"{side}_digest"),
+        )
+        for side, df in (("left", left), ("right", right))
+    ]
+    same = reduce(lambda a, b: a & b, [F.col(f"left_{n}").eqNullSafe(F.col(f"right_{n}")) for n in by])
+    return (
+        sides[0]
+        .join(sides[1], same, "full_outer")
+        .where(~F.col("left_digest").eqNullSafe(F.col("right_digest")))
+        .select(
+            *[F.coalesce(f"left_{name}", f"right_{name}").alias(name) for name in by],
+            F.coalesce("left_rows", F.lit(0)).alias("left_rows"),
+            F.coalesce("right_rows", F.lit(0)).alias("right_rows"),
+        )
+    )

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from agroweather.operators.publish import recover
 from agroweather.schemas import RAW_YIELD
 from agroweather.sources.lake import table_or_none
 
@@ -19,7 +20,11 @@ def year_probe(raw_yields: DataFrame, year: int) -> DataFrame:
 
 
 def year_is_loaded(spark: SparkSession, raw_path: str, year: int) -> bool:
-    """Does the raw yield table hold the year? A table without a finished write holds none."""
+    """Does the raw yield table hold the year? A table without a finished write holds none.
+
+    A load that was cut off after its gate counts: it is put in place first.
+    """
+    recover(spark, raw_path)
     raw = table_or_none(spark, raw_path, RAW_YIELD)
     return raw is not None and year_probe(raw, year).head().loaded
 

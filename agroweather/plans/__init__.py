@@ -1,6 +1,15 @@
 from agroweather.plans.analysis import state_yields, weather_yield_correlation
-from agroweather.plans.catalog import CHECKS, ChecksFailed, enforce_checks, run_checks
+from agroweather.plans.catalog import (
+    CHECKS,
+    RULES,
+    ChecksFailed,
+    enforce_checks,
+    quarantine,
+    run_checks,
+    with_rules,
+)
 from agroweather.plans.features import season_features
+from agroweather.plans.freshness import AgeLimits, StaleSource, enforce_freshness, source_freshness
 from agroweather.plans.ingestion import (
     LoadReport,
     build_county_seed,
@@ -19,7 +28,14 @@ from agroweather.plans.marts import (
     refresh_weather_fact,
     weather_yield_analysis,
 )
-from agroweather.plans.refresh import store_weather, stored_weather
+from agroweather.plans.refresh import (
+    FACT_CHANGED,
+    FACT_FULL,
+    FACT_WATERMARK,
+    refresh_fact,
+    store_weather,
+    stored_weather,
+)
 from agroweather.plans.staging import stage_weather, stage_yields
 from agroweather.plans.warehouse import (
     backfill,
@@ -30,9 +46,15 @@ from agroweather.plans.warehouse import (
 )
 
 __all__ = [
+    "AgeLimits",
     "CHECKS",
     "ChecksFailed",
+    "FACT_CHANGED",
+    "FACT_FULL",
+    "FACT_WATERMARK",
     "LoadReport",
+    "RULES",
+    "StaleSource",
     "backfill",
     "build_county_seed",
     "build_models",
@@ -44,15 +66,19 @@ __all__ = [
     "crop_yield_fact",
     "date_dimension",
     "enforce_checks",
+    "enforce_freshness",
     "ingest_weather",
     "ingest_yield",
     "ingest_yield_if_new",
     "open_models",
+    "quarantine",
+    "refresh_fact",
     "refresh_weather_fact",
     "register_views",
     "request_batches",
     "run_checks",
     "season_features",
+    "source_freshness",
     "stage_weather",
     "stage_yields",
     "state_yields",
@@ -60,4 +86,5 @@ __all__ = [
     "stored_weather",
     "weather_yield_analysis",
     "weather_yield_correlation",
+    "with_rules",
 ]

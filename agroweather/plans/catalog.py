@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agroweather.operators.checks import (
+    broken_rules,
     duplicate_keys,
     null_counts,
     orphan_keys,
     unexpected_values,
 )
+from agroweather.operators.sinks import write_table
+from agroweather.sources.lake import Lake, read_table
 
 
 class ChecksFailed(RuntimeError):
@@ -27,7 +30,8 @@ class ModelChecks:
 
     ``not_null`` and ``unique`` list columns, ``unique_together`` is a key,
     ``accepted`` maps a column to its values, ``references`` maps a column to
-    its parent ``(model, column)``.
+    its parent ``(model, column)``, ``holds`` maps a name to a condition on a row
+    (SQL); a row for which it is neither true nor false passes.
     """
 
     not_null: list[str] = field(default_factory=list)
@@ -35,6 +39,7 @@ class ModelChecks:
     unique_together: list[str] = field(default_factory=list)
     accepted: dict[str, list[str]] = field(default_factory=dict)
     references: dict[str, tuple[str, str]] = field(default_factory=dict)
+    holds: dict[str, str] = field(default_factory=dict)
 
     def __len__(self) -> int:
         return (
@@ -43,6 +48,7 @@ class ModelChecks:
             + bool(self.unique_together)
             + len(self.accepted)
             + len(self.references)
+            + len(self.holds)
         )
 
 
@@ -128,6 +134,34 @@ CHECKS = {
 }
 
 
+# Plausible ranges of a row's measures, by model; beyond the declared checks.
+_WEATHER_RULES = {
+    "temperature_2m_max": "temperature_2m_max BETWEEN -60 AND 60",
+    "temperature_2m_min": "temperature_2m_min BETWEEN -60 AND 60",
+    "precipitation_sum": "precipitation_sum BETWEEN 0 AND 2000",
+}
+_SEASON_RULES = {
+    "gdd": "gdd BETWEEN 0 AND 10000",
+    "precip_total_mm": "precip_total_mm BETWEEN 0 AND 20000",
+}
+RULES = {
+    "stg_weather_daily": _WEATHER_RULES,
+    "fact_weather_daily": _WEATHER_RULES,
+    "stg_nass_yield": {"yield_value": "yield_value BETWEEN 0 AND 400"},
+    "fact_crop_yield": {"yield_value": "yield_value BETWEEN 0 AND 400"},
+    "int_weather_growing_season": _SEASON_RULES,
+    "weather_yield_analysis": {**_SEASON_RULES, "yield_value": "yield_value BETWEEN 0 AND 400"},
+}
+
+
+def with_rules(
+    checks: dict[str, ModelChecks], rules: dict[str, dict[str, str]] | None = None
+) -> dict[str, ModelChecks]:
+    """The declared checks with conditions on single rows added (``RULES`` by default)."""
+    rules = RULES if rules is None else rules
+    return {name: replace(declared, holds=rules.get(name, {})) for name, declared in checks.items()}
+
+
 def _result(failures: DataFrame, model: str, check: str, target: str) -> DataFrame:
     return failures.select(
         F.lit(model).alias("model"),
@@ -150,12 +184,17 @@ def _one_pass(
 ) -> DataFrame:
     """Every check of a model from one grouping of its rows by ``key``.
 
-    The rows of a key are counted, with their NULLs, before the one large
+    The rows of a key are counted, with their NULLs and broken rules, before the one large
     shuffle; these counts are combined again per value of the columns that have
     accepted values or a parent, and only those meet the parents.
     """
     by_value = list(dict.fromkeys([*checks.accepted, *checks.references]))
-    nulls = {column: f"__nulls_{i}" for i, column in enumerate(checks.not_null)}
+    counted_rows: dict[str, Column] = {
+        f"__nulls_{i}": F.count_if(F.col(column).isNull()) for i, column in enumerate(checks.not_null)
+    }
+    counted_rows |= {
+        f"__broken_{i}": F.count_if(~F.expr(rule)) for i, rule in enumerate(checks.holds.values())
+    }
     ignore_nulls = not checks.unique_together
     duplicate = F.col("__n") > 1
     if ignore_nulls:
@@ -165,13 +204,13 @@ def _one_pass(
         .groupBy(*key)
         .agg(
             F.count(F.lit(1)).alias("__n"),
-            *[F.count_if(F.col(column).isNull()).alias(alias) for column, alias in nulls.items()],
+            *[count.alias(alias) for alias, count in counted_rows.items()],
         )
         .groupBy(*by_value)
         .agg(
             F.count_if(duplicate).alias("__duplicates"),
             F.sum("__n").alias("__n"),
-            *[F.sum(alias).alias(alias) for alias in nulls.values()],
+            *[F.sum(alias).alias(alias) for alias in counted_rows],
         )
     )
     for i, (column, (parent, parent_column)) in enumerate(checks.references.items()):
@@ -184,7 +223,8 @@ def _one_pass(
         )
         counted = counted.join(known, column, "left")
 
-    failures = [("not_null", column, F.sum(alias)) for column, alias in nulls.items()]
+    failures = [("not_null", column, F.sum(f"__nulls_{i}")) for i, column in enumerate(checks.not_null)]
+    failures += [("holds", rule, F.sum(f"__broken_{i}")) for i, rule in enumerate(checks.holds)]
     kind = "unique" if ignore_nulls else "unique_combination"
     failures.append((kind, ",".join(key), F.sum("__duplicates")))
     for column, values in checks.accepted.items():
@@ -233,6 +273,9 @@ def _pass_per_check(
     for column, (parent, parent_column) in checks.references.items():
         rows = orphan_keys(df, column, model(parent), parent_column)
         results.append(_result(_failing_records(rows), name, "relationships", column))
+    for rule, condition in checks.holds.items():
+        rows = broken_rules(df, {rule: condition})
+        results.append(_result(_failing_rows(rows), name, "holds", rule))
     return results
 
 
@@ -268,3 +311,20 @@ def enforce_checks(results: DataFrame) -> None:
     if failing:
         lines = [f"{r.model}: {r.check_name}({r.target}) {r.failures}" for r in failing]
         raise ChecksFailed("; ".join(lines))
+
+
+def quarantine(
+    models: dict[str, DataFrame], checks: dict[str, ModelChecks], lake: Lake
+) -> dict[str, DataFrame]:
+    """Store the rows that break a rule, with the names of the broken ones in ``failed``, by model.
+
+    A model without rules has no such table, one without broken rows an empty one.
+    """
+    found = {}
+    for name, declared in checks.items():
+        if declared.holds:
+            rows = broken_rules(models[name], declared.holds)
+            path = lake.path("quarantine", name)
+            write_table(rows, path)
+            found[name] = read_table(rows.sparkSession, path, rows.schema)
+    return found

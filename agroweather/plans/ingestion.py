@@ -17,7 +17,8 @@ from agroweather.operators.gate import (
     work_list,
 )
 from agroweather.operators.probes import year_is_loaded
-from agroweather.operators.sinks import REPLACE_TABLE, land_bronze, load_raw
+from agroweather.operators.publish import REPLACE_TABLE
+from agroweather.operators.sinks import land_bronze, load_raw
 from agroweather.schemas import INGEST_STAMP, RAW_WEATHER, RAW_YIELD, WEATHER_VARIABLES
 from agroweather.sources.constants import constant_rows
 from agroweather.sources.counties import read_gazetteer
@@ -112,6 +113,7 @@ def ingest_weather(
         partition_by="date",
         cluster_by=["fips"],
         replace=replace,
+        log_path=lake.loads(WEATHER_TABLE),
     )
     return LoadReport("loaded", n_rows)
 
@@ -159,6 +161,7 @@ def ingest_yield(
         partition_by="year",
         cluster_by=["state_alpha", "commodity_desc"],
         replace=replace,
+        log_path=lake.loads(YIELD_TABLE),
     )
     return LoadReport("loaded", n_rows)
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agroweather.functions.calendar import SEASON_END, SEASON_START
-from agroweather.operators.sinks import REPLACE_TABLE, write_partitioned
+from agroweather.operators.publish import REPLACE_TABLE
+from agroweather.operators.sinks import write_partitioned, write_table
 from agroweather.plans.catalog import run_checks
 from agroweather.plans.features import season_features
 from agroweather.plans.ingestion import (
@@ -29,10 +30,9 @@ from agroweather.plans.marts import (
     county_dimension,
     crop_yield_fact,
     date_dimension,
-    refresh_weather_fact,
     weather_yield_analysis,
 )
-from agroweather.plans.refresh import store_weather, stored_weather
+from agroweather.plans.refresh import FACT_WATERMARK, refresh_fact, store_weather, stored_weather
 from agroweather.plans.staging import stage_weather, stage_yields
 from agroweather.schemas import (
     ANALYSIS,
@@ -44,7 +44,7 @@ from agroweather.schemas import (
     RAW_YIELD,
     STAGED_WEATHER,
 )
-from agroweather.sources.lake import Lake, read_table, table_or_none
+from agroweather.sources.lake import Lake, read_table
 
 MART_CLUSTERING = ["state_alpha", "commodity"]
 # One row beside the staging tables: the options of the last finished build.
@@ -59,7 +59,7 @@ OPTIONS_SCHEMA = T.StructType(
 
 
 def _stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
+    write_table(df, path)
     return read_table(spark, path, df.schema)
 
 
@@ -76,6 +76,7 @@ def build_models(
     calendar_end: date = CALENDAR_END,
     store_staging: bool = True,
     raw_weather_path: str | None = None,
+    fact_mode: str = FACT_WATERMARK,
 ) -> dict[str, DataFrame]:
     """Write the marts under the lake root and return every model by name.
 
@@ -84,7 +85,8 @@ def build_models(
     full-table shuffle behind them runs once; where ``raw_weather`` is the table
     in the folder ``raw_weather_path``, a later build redoes only the months and
     years whose files changed. With ``store_staging=False`` both stay lazy views,
-    as the staged yields (a per-row projection) always do.
+    as the staged yields (a per-row projection) always do. ``fact_mode`` is that of
+    :func:`refresh_fact`.
     """
     options = F.struct(
         F.lit(season_start).alias("season_start"),
@@ -108,12 +110,8 @@ def build_models(
         lake.mart("dim_date"),
     )
 
-    # An existing fact takes the newest days only. Read through the view they
-    # prune the raw partitions, and just these days are deduplicated.
     fact_path = lake.mart("fact_weather_daily")
-    fact_exists = table_or_none(spark, fact_path, STAGED_WEATHER) is not None
-    fact_source = stage_weather(raw_weather) if fact_exists else staged_weather
-    refresh_weather_fact(spark, fact_source, fact_path)
+    refresh_fact(spark, staged_weather, raw_weather, lake, mode=fact_mode, raw_path=raw_weather_path)
 
     yield_path = lake.mart("fact_crop_yield")
     write_partitioned(crop_yield_fact(staged_yields), yield_path, "year", MART_CLUSTERING)
@@ -207,7 +205,9 @@ def backfill(
     """Re-run both ingestions for a window and a year, rebuild the models, then check them.
 
     By default raw then holds this window only; ``replace="partitions"`` keeps
-    the days and years of earlier windows. The payloads are folders of landed
+    the days and years of earlier windows. The fact takes days before its
+    greatest one only with ``build_options={"fact_mode": "changed"}`` (or
+    ``"full"``), which a window loaded late needs. The payloads are folders of landed
     responses, ``points`` is the centroid table.
     Returns the load reports, the models, and the check results.
     """

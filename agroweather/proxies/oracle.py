@@ -6,7 +6,7 @@ one statement: the common table expressions it needs, then its final select.
 
 from __future__ import annotations
 
-from agroweather.plans.catalog import CHECKS
+from agroweather.plans.catalog import CHECKS, ModelChecks, with_rules
 from agroweather.proxies import queries as q
 
 
@@ -197,7 +197,7 @@ _SUITE_MODELS = {
 }
 
 
-def _suite() -> str:
+def _suite(declared: dict[str, ModelChecks]) -> str:
     def row(model: str, check: str, target: str, failures: str) -> str:
         return (
             f"SELECT '{model}' AS model, '{check}' AS check_name, '{target}' AS target, "
@@ -205,7 +205,7 @@ def _suite() -> str:
         )
 
     rows = []
-    for model, checks in CHECKS.items():
+    for model, checks in declared.items():
         source = _SUITE_MODELS[model]
         for name in checks.not_null:
             failures = f"SELECT COUNT(*) FROM {source} WHERE {name} IS NULL"
@@ -240,9 +240,19 @@ def _suite() -> str:
                 f"WHERE parent.{parent_column} = child.{name})"
             )
             rows.append(row(model, "relationships", name, failures))
+        for name, rule in checks.holds.items():
+            rows.append(row(model, "holds", name, f"SELECT COUNT(*) FROM {source} WHERE NOT ({rule})"))
     return "\nUNION ALL ".join(rows)
 
 
+def _held(source: str, period: str, rules: dict[str, str]) -> str:
+    names = ", ".join(f"CASE WHEN NOT ({rule}) THEN '{name}' END" for name, rule in rules.items())
+    return (
+        f"SELECT fips, {period} AS period, concat_ws(',', {names}) AS failed FROM {source} "
+        f"WHERE {' OR '.join(f'NOT ({rule})' for rule in rules.values())}"
+    )
+
+
 def _correlations() -> str:
     features = ["gdd", "precip_total_mm", "heat_stress_days", "dry_days", "et0_total_mm", "tmax_mean"]
     return "\nUNION ALL ".join(
@@ -342,6 +352,10 @@ ORACLES: dict[str, str] = {
         """SELECT 'kept' AS folder, COUNT(*) AS n_rows FROM raw_yields
            UNION ALL SELECT 'cleared', 0""",
     ),
+    "q_fact_refresh_recovered": _statement(
+        ["stg_weather"], f"SELECT {STAGED_COLUMNS} FROM stg_weather"
+    ),
+    "q_backfill_fact": _statement(["stg_weather"], f"SELECT {STAGED_COLUMNS} FROM stg_weather"),
     "q_fact_weather_recovered": _statement(
         ["stg_weather"], f"SELECT {STAGED_COLUMNS} FROM stg_weather"
     ),
@@ -417,7 +431,36 @@ ORACLES: dict[str, str] = {
            WHERE y.fips IS NOT NULL AND c.fips IS NULL GROUP BY y.fips""",
     ),
     "q_dq_suite": _statement(
-        ["analysis", "commodities", "dates_2025"], _suite()
+        ["analysis", "commodities", "dates_2025"], _suite(CHECKS)
+    ),
+    "q_dq_gated": _statement(
+        ["analysis", "commodities", "dates_2025"], _suite(with_rules(CHECKS, q.RULES))
+    ),
+    "q_dq_quarantine": _statement(
+        ["stg_weather", "stg_yields"],
+        f"""{_held("stg_weather", "CAST(date AS VARCHAR)", q.RULES["stg_weather_daily"])}
+            UNION ALL
+            {_held("stg_yields", "commodity || ' ' || year", q.RULES["fact_crop_yield"])}""",
+    ),
+    "q_source_freshness": _statement(
+        ["raw_yields"],
+        f"""SELECT source, latest, n_loads, CAST(age AS BIGINT) AS age_seconds,
+                   CASE WHEN age <= {int(q.LOAD_LIMITS.warn.total_seconds())} THEN 'pass'
+                        WHEN age <= {int(q.LOAD_LIMITS.error.total_seconds())} THEN 'warn'
+                        ELSE 'error' END AS status
+            FROM (SELECT source, n_loads, make_timestamp(seconds * 1000000) AS latest,
+                         {int(q.FRESHNESS_NOW.timestamp())} - seconds AS age
+                  FROM (SELECT 'both' AS source, CAST(2 AS BIGINT) AS n_loads,
+                               MAX(year) * 86400 + {q.LOAD_EPOCH} AS seconds FROM raw_yields
+                        UNION ALL
+                        SELECT 'first', 1, MAX(year) * 86400 + {q.LOAD_EPOCH} FROM raw_yields
+                        WHERE year <= {q.SPLIT_YEAR}
+                        UNION ALL SELECT 'none', 0, NULL))""",
+    ),
+    "q_reconcile_content": _statement(
+        ["stg_weather"],
+        f"""SELECT date, CAST(COUNT(*) AS BIGINT) AS left_rows, CAST(COUNT(*) AS BIGINT) AS right_rows
+            FROM stg_weather WHERE date IN ({', '.join(f"DATE '{d}'" for d in q.TAMPERED_DAYS)}) GROUP BY date""",
     ),
     "q_dq_ranges": _statement(
         ["stg_yields"],

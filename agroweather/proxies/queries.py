@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from agroweather import operators as op
 from agroweather import plans
 from agroweather.functions import bu_acre_to_t_ha, county_fips, parse_yield
-from agroweather.operators.sinks import REPLACE_PARTITIONS, REPLACE_TABLE
+from agroweather.operators import publish, sinks
+from agroweather.operators.publish import REPLACE_PARTITIONS, REPLACE_TABLE
 from agroweather.proxies import payloads, views
 from agroweather.schemas import ANALYSIS, RAW_WEATHER, RAW_YIELD, STAGED_WEATHER
 from agroweather.session import configure, remove_folder, scratch_path
@@ -44,6 +45,22 @@ SEED_STATES = ["NATION_1", "NATION_6", "NATION_9", "NATION_11", "NATION_18"]
 YIELD_STATES = [f"NATION_{key}" for key in range(25)]
 YIELD_RANGE = (600.0, 2500.0)
 TMAX_RANGE = (0.0, 40.0)
+RULES = {
+    "stg_weather_daily": {
+        "temperature_2m_max": "temperature_2m_max BETWEEN 0 AND 40",
+        "temperature_2m_min": "temperature_2m_min BETWEEN -10 AND 30",
+    },
+    "fact_crop_yield": {"yield_value": "yield_value BETWEEN 600 AND 2500"},
+    "weather_yield_analysis": {
+        "gdd": "gdd BETWEEN 1 AND 10000",
+        "dry_and_hot": "NOT (heat_stress_days > 5 AND dry_days = 0)",
+    },
+}
+CUT_MONTH = 6
+LATE_YEAR = 1996
+TAMPERED_DAYS = [date(1996, 3, 1), date(1997, 7, 4), date(1998, 12, 31)]
+LOAD_LIMITS = plans.AgeLimits(timedelta(days=12), timedelta(days=20))
+LOAD_EPOCH = 1_596_000_000
 
 
 def staged_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,6 +129,37 @@ def fact_weather_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path, STAGED_WEATHER)
 
 
+def fact_refresh_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A refresh that was cut off when it had moved the days of one month only, then the next."""
+    path = Lake(scratch_path(spark, "fact-cut")).mart("fact_weather_daily")
+    staged = staged_weather(spark, sf_dir)
+    until = F.lit(INCREMENTAL_UNTIL)
+    plans.refresh_weather_fact(spark, staged.filter(F.col("date") <= until), path)
+    later = staged.filter(F.col("date") >= op.high_watermark(spark, path))
+    sinks.write_beside(later, path, "date", ["fips"])
+    publish.decide(spark, path, REPLACE_PARTITIONS)
+    for folder in publish.partition_folders(spark, publish.incoming(path)):
+        if date.fromisoformat(folder.removeprefix("date=")).month == CUT_MONTH:
+            remove_folder(spark, f"{path}/{folder}")
+            publish.move(spark, f"{publish.incoming(path)}/{folder}", f"{path}/{folder}")
+    plans.refresh_weather_fact(spark, staged, path)
+    return read_table(spark, path, STAGED_WEATHER)
+
+
+def fact_late_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw loaded with the later years first; the fact then takes the window that came late."""
+    lake = Lake(scratch_path(spark, "fact-late"))
+    raw, path = views.raw_weather(spark, sf_dir), lake.raw("weather_daily")
+    late = F.year("date") <= LATE_YEAR
+    for days in (~late, late):  # raw holds one window at a time
+        op.write_partitioned(raw.filter(days), path, "date", ["fips"])
+        loaded = read_table(spark, path, RAW_WEATHER)
+        plans.refresh_fact(
+            spark, plans.stage_weather(loaded), loaded, lake, mode=plans.FACT_CHANGED, raw_path=path
+        )
+    return read_table(spark, lake.mart("fact_weather_daily"), STAGED_WEATHER)
+
+
 def staging_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Season features after a build on the earlier days and a refresh with the later ones."""
     lake = Lake(scratch_path(spark, "staging-refreshed"))
@@ -399,14 +447,76 @@ def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every model built, then every declared check."""
-    models = plans.build_models(
+    return plans.run_checks(_built(spark, sf_dir, Lake(scratch_path(spark, "suite"))))
+
+
+def _built(spark: SparkSession, sf_dir: str, lake: Lake) -> dict[str, DataFrame]:
+    return plans.build_models(
         spark,
         views.raw_weather(spark, sf_dir),
         views.raw_yields(spark, sf_dir),
         views.counties(spark, sf_dir),
-        Lake(scratch_path(spark, "suite")),
+        lake,
+    )
+
+
+def dq_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every model built, then every declared check and every rule on single rows."""
+    models = _built(spark, sf_dir, Lake(scratch_path(spark, "gated")))
+    return plans.run_checks(models, plans.with_rules(plans.CHECKS, RULES))
+
+
+def dq_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The yields and weather days that a rule keeps out, with the rules they break."""
+    lake = Lake(scratch_path(spark, "quarantine"))
+    models = {
+        "stg_weather_daily": staged_weather(spark, sf_dir),
+        "fact_crop_yield": crop_yields(spark, sf_dir),
+    }
+    checks = plans.with_rules({name: plans.CHECKS[name] for name in models}, RULES)
+    held = plans.quarantine(models, checks, lake)
+    return held["stg_weather_daily"].select(
+        "fips", F.col("date").cast("string").alias("period"), F.array_join("failed", ",").alias("failed")
+    ).unionByName(
+        held["fact_crop_yield"].select(
+            "fips", F.concat_ws(" ", "commodity", "year").alias("period"), F.array_join("failed", ",").alias("failed")
+        )
     )
-    return plans.run_checks(models)
+
+
+def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ages by the load logs: yields loaded in two windows, the first of them alone, and nothing."""
+    lake, raw = Lake(scratch_path(spark, "source-freshness")), views.raw_yields(spark, sf_dir)
+    stamped = raw.withColumn("_ingested_at", F.timestamp_seconds(F.col("year") * 86400 + LOAD_EPOCH))
+    for table, windows in (("both", (True, False)), ("first", (True,))):
+        for early in windows:
+            window = stamped.filter((F.col("year") <= SPLIT_YEAR) == early)
+            op.land_bronze(window, lake.bronze(table), "year")
+            op.load_raw(
+                spark,
+                lake.bronze(table),
+                lake.raw(table),
+                RAW_YIELD,
+                partition_by="year",
+                cluster_by=["state_alpha", "commodity_desc"],
+                replace=REPLACE_PARTITIONS,
+                log_path=lake.loads(table),
+            )
+    limits = dict.fromkeys(["both", "first", "none"], LOAD_LIMITS)
+    return plans.source_freshness(spark, lake, FRESHNESS_NOW, limits)
+
+
+def reconcile_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of the stored fact whose rows are no longer those of staging; all counts agree."""
+    path = Lake(scratch_path(spark, "content")).mart("fact_weather_daily")
+    staged = staged_weather(spark, sf_dir)
+    least = F.min("fips").over(Window.partitionBy("date"))
+    tampered = F.when(
+        F.col("date").isin(TAMPERED_DAYS) & (F.col("fips") == least), F.col("wind_speed_kmh") + 0.25
+    ).otherwise(F.col("wind_speed_kmh"))
+    op.write_table(staged.withColumn("wind_speed_kmh", tampered), path)
+    fact = read_table(spark, path, STAGED_WEATHER)
+    return op.differing_groups(staged, fact, ["date"], STAGED_WEATHER.names)
 
 
 def dq_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -479,6 +589,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_year_loaded": year_loaded,
     "q_record_count_gate": record_count_gate,
     "q_fact_weather_recovered": fact_weather_recovered,
+    "q_fact_refresh_recovered": fact_refresh_recovered,
+    "q_backfill_fact": fact_late_window,
     "q_staging_refreshed": staging_refreshed,
     "q_ingest_yield_twice": ingest_yield_twice,
     "q_bronze_cleared": bronze_cleared,
@@ -488,10 +600,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_dq_accepted_values": dq_accepted_values,
     "q_dq_relationships": dq_relationships,
     "q_dq_suite": dq_suite,
+    "q_dq_gated": dq_gated,
+    "q_dq_quarantine": dq_quarantine,
     "q_dq_ranges": dq_ranges,
     "q_dq_weather_ranges": dq_weather_ranges,
     "q_freshness": freshness,
+    "q_source_freshness": source_freshness,
     "q_reconcile": reconcile,
+    "q_reconcile_content": reconcile_content,
     "q_reconcile_layers": reconcile_layers,
     "q_backfill_two_windows": backfill_two_windows,
     "q_state_yield_rollup": state_yield_rollup,

@@ -25,6 +25,10 @@ class Lake:
     def raw(self, table: str) -> str:
         return self.path("raw", table)
 
+    def loads(self, table: str) -> str:
+        """The log of finished loads of a raw table."""
+        return self.path("loads", table)
+
     def staging(self, table: str) -> str:
         return self.path("staging", table)
 
@@ -32,14 +36,15 @@ class Lake:
         return self.path("marts", table)
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Table in contract order and types.
 
     The schema is given, not discovered: an empty table stays readable, and a
     partition column gets its contract type and place instead of the inferred
     type at the end.
     """
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    found = spark.read.schema(schema).parquet(path)
+    return found if isinstance(schema, str) else found.select(*schema.names)
 
 
 def is_committed(spark: SparkSession, path: str) -> bool:
@@ -51,6 +56,6 @@ def is_committed(spark: SparkSession, path: str) -> bool:
     return file_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
-def table_or_none(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+def table_or_none(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame | None:
     """The table, or None where no write has been finished yet."""
     return read_table(spark, path, schema) if is_committed(spark, path) else None

@@ -1,10 +1,25 @@
+from dataclasses import replace
 from datetime import timedelta
 
 import pytest
 
 from agroweather import operators as op
-from agroweather.plans import CHECKS, run_checks
+from agroweather.plans import (
+    CHECKS,
+    RULES,
+    AgeLimits,
+    ChecksFailed,
+    StaleSource,
+    enforce_checks,
+    enforce_freshness,
+    quarantine,
+    run_checks,
+    source_freshness,
+    with_rules,
+)
 from agroweather.plans.catalog import ModelChecks, _pass_per_check
+from agroweather.schemas import RAW_YIELD
+from agroweather.sources import Lake
 from tests.conftest import rows, stamp
 
 
@@ -164,3 +179,108 @@ def test_reconcile(spark):
     raw = spark.createDataFrame([(1, 1), (1, 1), (2, 1)], "a int, b int")
     got = op.reconcile({"raw": raw, "staged": raw.distinct(), "none": raw.limit(0)}, ["a", "b"])
     assert rows(got) == [("raw", 3, 2), ("staged", 2, 2), ("none", 0, 0)]
+
+
+# ---- rules on single rows
+
+
+def test_rules_join_the_one_pass(suite):
+    models, checks, want = suite
+    rules = {"child": {"small": "y < 3", "v_and_y": "v + y > 1.5"}, "parent": {}}
+    ruled = with_rules(checks, rules)
+    results = run_checks(models, ruled)
+    # y: 1 1 2 NULL NULL 3 3 4 with v: 1 - 1 1 1 1 - 1; a condition that is NULL passes
+    want = {**want, ("child", "holds", "small"): 3, ("child", "holds", "v_and_y"): 0}
+    assert {(m, c, t): n for m, c, t, n in rows(results)} == want
+    plan = run_checks({"child": models["child"]}, {"child": replace(ruled["child"], references={})})
+    assert plan._jdf.queryExecution().executedPlan().toString().count("ReadSchema") == 1
+    apart = [r for df in _pass_per_check("child", ruled["child"], models.__getitem__) for r in rows(df)]
+    assert ("child", "holds", "small", 3) in apart
+
+
+def test_a_negative_yield_is_named_and_held(spark, tmp_path):
+    made = [("19001", "corn", "IA", 2025, v, None, "BU / ACRE", stamp(8)) for v in (-1.0, 180.0, None, float("nan"))]
+    kept = [("19003", "corn", "IA", 2025, 200.0, None, "BU / ACRE", stamp(8))]
+    yields = spark.createDataFrame(
+        [(f"{f}{i}", *rest) for i, (f, *rest) in enumerate(made + kept)],
+        "fips string, commodity string, state_alpha string, year long, yield_value double, "
+        "yield_value_t_ha double, unit string, _ingested_at timestamp",
+    )
+    checks = {"fact_crop_yield": replace(with_rules(CHECKS)["fact_crop_yield"], references={})}
+    with pytest.raises(ChecksFailed, match=r"fact_crop_yield: holds\(yield_value\) 2"):
+        enforce_checks(run_checks({"fact_crop_yield": yields}, checks))
+    lake = Lake(str(tmp_path))
+    held = quarantine({"fact_crop_yield": yields}, checks, lake)["fact_crop_yield"]
+    assert sorted(r.fips for r in held.collect()) == ["190010", "190013"]
+    assert {tuple(r.failed) for r in held.collect()} == {("yield_value",)}
+    clean = quarantine({"fact_crop_yield": yields.where("yield_value = 180")}, checks, lake)
+    assert clean["fact_crop_yield"].isEmpty()
+    enforce_checks(run_checks({"fact_crop_yield": yields.where("yield_value IN (180, 200)")}, checks))
+
+
+def test_rules_name_models_and_columns_that_exist():
+    from agroweather import schemas
+
+    tables = {"stg_weather_daily": schemas.STAGED_WEATHER, "fact_weather_daily": schemas.STAGED_WEATHER,
+              "fact_crop_yield": schemas.CROP_YIELD, "int_weather_growing_season": schemas.SEASON_FEATURES,
+              "weather_yield_analysis": schemas.ANALYSIS, "stg_nass_yield": schemas.CROP_YIELD}
+    for model, rules in RULES.items():
+        assert set(rules) <= set(tables[model].names)
+
+
+# ---- freshness by the load logs
+
+
+def test_source_freshness(spark, raw_yields, tmp_path):
+    lake = Lake(str(tmp_path))
+    limits = {"y": AgeLimits(timedelta(hours=1), timedelta(hours=3)), "z": AgeLimits(timedelta(1), timedelta(2))}
+
+    def load(hour, replace="table"):
+        op.land_bronze(raw_yields({"year": 2025, "_ingested_at": stamp(hour)}), lake.bronze("y"), "year")
+        op.load_raw(spark, lake.bronze("y"), lake.raw("y"), RAW_YIELD, partition_by="year",
+                    cluster_by=["state_alpha"], replace=replace, log_path=lake.loads("y"))
+
+    def status(hour):
+        return [(r.source, r.n_loads, r.age_seconds, r.status)
+                for r in source_freshness(spark, lake, stamp(hour), limits).collect()]
+
+    with pytest.raises(StaleSource, match="y: latest load None; z"):
+        enforce_freshness(source_freshness(spark, lake, stamp(9), limits))
+    load(8)
+    assert status(9) == [("y", 1, 3600, "pass"), ("z", 0, None, "error")]
+    assert status(11)[0] == ("y", 1, 3 * 3600, "warn")
+    assert status(12)[0][3] == "error"
+    only = {"y": limits["y"]}
+    assert enforce_freshness(source_freshness(spark, lake, stamp(9), only)) == []
+    assert enforce_freshness(source_freshness(spark, lake, stamp(10), only)) == ["y"]
+    with pytest.raises(StaleSource, match="^y: "):
+        enforce_freshness(source_freshness(spark, lake, stamp(12), only))
+    load(7, "partitions")
+    assert status(9)[0] == ("y", 2, 3600, "pass")
+    load(6)  # replaces the table, so the earlier loads no longer count
+    assert status(9)[0] == ("y", 1, 3 * 3600, "warn")
+
+
+def test_freshness_reads_no_rows_of_raw(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    op.write_table(spark.range(1).selectExpr("5L AS n_rows", "TIMESTAMP'2026-01-01' AS latest"), lake.loads("y"))
+    plan = source_freshness(spark, lake, stamp(9), {"y": AgeLimits(timedelta(1), timedelta(2))})
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "/loads/y" in text and "/raw" not in text
+
+
+# ---- reconciliation by content
+
+
+def test_differing_groups(spark):
+    left = spark.createDataFrame(
+        [(1, "a", 1.0), (1, "b", 2.0), (2, "a", 1.0), (2, "a", 1.0), (3, "c", None), (None, "d", 1.0), (4, "x", 1.0)],
+        "k int, s string, v double")
+    same = left.orderBy("v", "s")
+    assert rows(op.differing_groups(left, same, ["k"], ["s", "v"])) == []
+    other = spark.createDataFrame(
+        [(1, "a", 2.0), (1, "b", 1.0), (2, "a", 1.0), (3, "c", None), (None, "d", 1.5), (5, "y", 1.0)],
+        "k int, s string, v double")
+    got = sorted(rows(op.differing_groups(left, other, ["k"], ["s", "v"])), key=str)
+    assert got == [(1, 2, 2), (2, 2, 1), (4, 1, 0), (5, 0, 1), (None, 1, 1)]
+    assert rows(op.differing_groups(left.limit(0), left.limit(0), ["k"], ["s", "v"])) == []
