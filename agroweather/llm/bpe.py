@@ -16,11 +16,13 @@ from __future__ import annotations
 
 import heapq
 import json
+import struct
 import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -89,9 +91,12 @@ class Bpe:
         self.special_split = regex.compile(
             "(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")"
         )
-        self.merges = {}
+        # rank by pair, and the symbol that the pair of a rank becomes
+        self.ranks: dict[tuple[int, int], int] = {}
+        self.made: list[int] = []
         for rank, (left, right) in enumerate(model["merges"]):
-            self.merges[vocab[left], vocab[right]] = rank, vocab[left + right]
+            self.ranks[vocab[left], vocab[right]] = rank
+            self.made.append(vocab[left + right])
         letters = byte_letters()
         self.inner = [vocab[letters[byte]] for byte in range(256)]
         self.final = [vocab[letters[byte] + self.suffix] for byte in range(256)]
@@ -99,36 +104,50 @@ class Bpe:
         self.chunks = regex.compile(f"[^{SPACE}]+")
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, bytes] = {}
+        self.spelled = pa.array(
+            [self.strings.get(i, "") for i in range(max(self.strings) + 1)], pa.large_string()
+        )
 
     def merge_word(self, word: bytes) -> list[int]:
-        """Ids of one word after all merges, lowest rank first, leftmost among equals."""
+        """Ids of one word after all merges, lowest rank first, leftmost among equals.
+
+        Queue entries hold a rank and, in their low bits, a place; one whose place no
+        longer starts a pair of that rank is stale and skipped.
+        """
         symbols = [self.inner[byte] for byte in word[:-1]] + [self.final[word[-1]]]
         last = len(symbols) - 1
+        rank_of, made = self.ranks.get, self.made
+        ranks = [rank_of(pair, -1) for pair in zip(symbols, symbols[1:])]
+        bits = last.bit_length()
+        low = (1 << bits) - 1
+        queue = [rank << bits | at for at, rank in enumerate(ranks) if rank >= 0]
+        if not queue:
+            return symbols
+        heapq.heapify(queue)
+        pop, push = heapq.heappop, heapq.heappush
         before, after = list(range(-1, last)), [*range(1, last + 1), -1]
-        merges, queue = self.merges, []
-
-        def offer(at: int) -> None:
-            right = after[at]
-            found = merges.get((symbols[at], symbols[right])) if right >= 0 else None
-            if found:
-                heapq.heappush(queue, (found[0], at, symbols[at], symbols[right], found[1]))
-
-        for at in range(last):
-            offer(at)
+        ranks.append(-1)
         while queue:
-            _, at, left, right, merged = heapq.heappop(queue)
-            nxt = after[at]
-            if symbols[at] != left or nxt < 0 or symbols[nxt] != right:
+            entry = pop(queue)
+            at, rank = entry & low, entry >> bits
+            if ranks[at] != rank:
                 continue
-            symbols[at], symbols[nxt] = merged, -1
-            after[at] = after[nxt]
-            if after[nxt] >= 0:
-                before[after[nxt]] = at
-            after[nxt] = -1
-            if before[at] >= 0:
-                offer(before[at])
-            offer(at)
+            gone = after[at]
+            symbols[at] = merged = made[rank]
+            symbols[gone] = ranks[gone] = -1
+            after[at] = right = after[gone]
+            ranks[at] = -1
+            if right >= 0:
+                before[right] = at
+                ranks[at] = rank = rank_of((merged, symbols[right]), -1)
+                if rank >= 0:
+                    push(queue, rank << bits | at)
+            left = before[at]
+            if left >= 0:
+                ranks[left] = rank = rank_of((symbols[left], merged), -1)
+                if rank >= 0:
+                    push(queue, rank << bits | left)
         return [symbol for symbol in symbols if symbol >= 0]
 
     def pieces_of(self, text: str) -> list[str]:
@@ -148,15 +167,16 @@ class Bpe:
         text = unicodedata.normalize("NFC", chunk)
         # a capital sigma is lowered without a look at its neighbours
         text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
-        words, ids = self.words, []
+        words, out = self.words, []
         for piece in self.pieces_of(text):
             found = words.get(piece)
             if found is None:
-                found = self.merge_word(piece.encode())
+                ids = self.merge_word(piece.encode())
+                found = struct.pack(f"<{len(ids)}I", *ids)
                 if len(piece) <= 64:
                     words[piece] = found
-            ids += found
-        return np.array(ids, dtype="<u4").tobytes()
+            out.append(found)
+        return out[0] if len(out) == 1 else b"".join(out)
 
     def encode(self, text: str) -> bytes:
         parts = self.special_split.split(text) if "<|" in text else [text]
@@ -182,7 +202,14 @@ class Bpe:
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:
-        return " ".join(map(self.strings.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+        return self.decode_all([ids])[0].decode()
+
+    def decode_all(self, encoded: list[bytes]) -> list[bytes]:
+        """The texts of several id sequences: vocabulary strings, one blank between."""
+        ends = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids in encoded])])
+        strings = self.spelled.take(pa.array(np.frombuffer(b"".join(encoded), dtype="<u4")))
+        lists = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), strings)
+        return pc.binary_join(lists, pa.scalar(" ", pa.large_string())).cast(pa.large_binary()).to_pylist()
 
 
 def encode_documents(
@@ -212,7 +239,7 @@ def encode_documents(
             columns += [
                 pa.array(counts),
                 pa.array(map(sha256, encoded), pa.string()),
-                pa.array((sha256(bpe.decode(ids).encode()) for ids in encoded), pa.string()),
+                pa.array(map(sha256, bpe.decode_all(encoded)), pa.string()),
             ]
             names = [name.split()[0] for name in (ENCODED if with_ids else DIGESTS).split(", ")]
             yield pa.RecordBatch.from_arrays(columns, names=names)

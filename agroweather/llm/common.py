@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +32,35 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+Model = TypeVar("Model")
+
+
+def shared_model(spark: SparkSession, model: Model) -> Callable[[], Model]:
+    """Broadcast a model together with its class; workers call the result to get it.
+
+    A plain broadcast names the class by its module, which executors need not have.
+    """
+    packed = spark.sparkContext.broadcast(cloudpickle.dumps(model))
+    return lambda: pickle.loads(packed.value)
+
+
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, lengthened until no column of ``taken`` has it, whatever the case of letters."""
+    used = {column.lower() for column in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
+def set_aside(docs: DataFrame, helpers: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with the columns that are named like a helper renamed, and how to name them back."""
+    back: dict[str, str] = {}
+    for name in docs.columns:
+        if name.lower() in helpers:
+            back[free_name([*docs.columns, *helpers, *back], name)] = name
+    return docs.withColumnsRenamed({old: new for new, old in back.items()}), back
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """Remainder of the CRC-32 of the id's decimal text; NULL for a NULL id."""
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(parts))

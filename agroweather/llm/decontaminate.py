@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agroweather.llm.common import sha256, slices, stored
+from agroweather.llm.common import free_name, sha256, shared_model, slices, stored
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
@@ -216,7 +216,8 @@ def find_hits(
     """
     spark, names = docs.sparkSession, docs.columns
     place = names.index(text)
-    out = docs.withColumn("__spans", F.array().cast(SPANS)).withColumn("__items", F.array().cast(ITEMS))
+    held = [free_name(names, "__spans"), free_name(names, "__items")]
+    out = docs.withColumn(held[0], F.array().cast(SPANS)).withColumn(held[1], F.array().cast(ITEMS))
     between = out.schema
 
     def passing(automaton_of: Callable[[], SuffixAutomaton], last: bool):
@@ -239,7 +240,7 @@ def find_hits(
                     pa.array(items, pa.list_(pa.string())),
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    [*own.columns, *found_columns], names=[*names, "__spans", "__items"]
+                    [*own.columns, *found_columns], names=[*names, *held]
                 )
 
         return run
@@ -248,8 +249,7 @@ def find_hits(
     block = next(blocks, [])
     while True:
         following = next(blocks, None)
-        shared = spark.sparkContext.broadcast(SuffixAutomaton(block, window))
-        run = passing(lambda shared=shared: shared.value, following is None)
+        run = passing(shared_model(spark, SuffixAutomaton(block, window)), following is None)
         if following is None:
             return out.mapInArrow(run, schema)
         out, block = stored(out.mapInArrow(run, between), "decontaminate"), following

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agroweather.llm.common import lower_ascii, stored
+from agroweather.llm.common import lower_ascii, set_aside, stored
 
 LEAST_LENGTH = 20
 LEAST_DOCUMENTS = 3
@@ -85,6 +85,9 @@ def dropped_runs(runs: DataFrame) -> DataFrame:
     )
 
 
+HELPERS = ["__doc", "__body", "__keep", "__lines", "__gone", "__kept"]
+
+
 def with_kept_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with ``__lines`` (before dropping), ``__gone`` (number dropped) and ``__kept`` (text)."""
     runs = stored(line_runs(docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))), "line-runs")
@@ -125,6 +128,7 @@ def dedup_lines(docs: DataFrame, *, text: str = "text") -> DataFrame:
 
     A column ``n_chars``, where there is one, is counted anew for changed texts.
     """
+    docs, back = set_aside(docs, HELPERS)
     found = with_kept_lines(docs, text=text)
     columns = []
     for name in docs.columns:
@@ -135,4 +139,4 @@ def dedup_lines(docs: DataFrame, *, text: str = "text") -> DataFrame:
             changed = F.length("__kept").cast(docs.schema[name].dataType)
             column = F.when(F.col("__gone") > 0, changed).otherwise(column)
         columns.append(column.alias(name))
-    return found.select(*columns)
+    return found.select(*columns).withColumnsRenamed(back)

@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from agroweather.llm.common import slices, stored
+from agroweather.llm.common import set_aside, slices, stored
 from agroweather.llm.components import connected_components
 
 SHINGLE_WORDS = 5
@@ -576,6 +576,7 @@ def keep_representatives(docs: DataFrame) -> DataFrame:
     with a NULL id. Rows of one id are kept or dropped each by its own text;
     repeated rows are one document and stay repeated.
     """
+    docs, back = set_aside(docs, ["__doc", "__body"])
     found = shingle_components(docs.select(F.col("doc_id").cast("long"), "text"))
     gone = (
         found.where("n_shingles > 0 AND component_id < doc_id")
@@ -583,4 +584,4 @@ def keep_representatives(docs: DataFrame) -> DataFrame:
         .distinct()
     )
     same = (F.col("doc_id").cast("long") == F.col("__doc")) & (F.xxhash64("text") == F.col("__body"))
-    return docs.join(gone, same, "left_anti")
+    return docs.join(gone, same, "left_anti").withColumnsRenamed(back)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agroweather.llm.common import bounded_sample, fold, slices, texts
+from agroweather.llm.common import bounded_sample, fold, free_name, shared_model, slices, texts
 
 FOLDS, HELD_OUT = 4, 2
 PASSAGE_BYTES = 512
@@ -289,12 +289,12 @@ def with_quality(
     docs: DataFrame, model: GatedAttention | float, *, text: str = "text", score: str = "score"
 ) -> DataFrame:
     """``docs`` with one more column: the score of the whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = shared_model(docs.sparkSession, model)
     place = docs.columns.index(text)
     schema = docs.withColumn(score, F.lit(0.0)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = shared()
         for batch in slices(batches):
             if isinstance(model, float):
                 scores = [model] * batch.num_rows
@@ -323,5 +323,6 @@ def classify_quality(docs: DataFrame, labels: DataFrame, **options) -> DataFrame
 def keep_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject, all columns as they were."""
     model = trained(docs.select("doc_id", "text"), labels)
-    scored = with_quality(docs, model, score="__quality")
-    return scored.where(F.col("__quality") >= THRESHOLD).drop("__quality")
+    score = free_name(docs.columns, "__quality")
+    scored = with_quality(docs, model, score=score)
+    return scored.where(F.col(score) >= THRESHOLD).drop(score)
