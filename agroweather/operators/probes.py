@@ -29,15 +29,19 @@ def year_is_loaded(spark: SparkSession, raw_path: str, year: int) -> bool:
     return raw is not None and year_probe(raw, year).head().loaded
 
 
-def listed_files(spark: SparkSession, path: str, column: str = "date") -> DataFrame:
-    """``(path, length, modificationTime, <column>)`` of every file below date folders.
+def listed_files(
+    spark: SparkSession, path: str, column: str = "date", kind: str | None = "date"
+) -> DataFrame:
+    """``(path, length, modificationTime, <column>)`` of every file below partition folders.
 
     No file is opened. A table without files has no folder level, hence no rows.
+    ``kind`` is the type of the column; None leaves the inferred one.
     """
     listing = spark.read.format("binaryFile").load(path)
     if column not in listing.columns:
-        listing = listing.limit(0).withColumn(column, F.lit(None))
-    return listing.select("path", "length", "modificationTime", F.col(column).cast("date").alias(column))
+        listing = listing.limit(0).withColumn(column, F.lit(None).cast(kind or "string"))
+    value = F.col(column).cast(kind) if kind else F.col(column)
+    return listing.select("path", "length", "modificationTime", value.alias(column))
 
 
 def high_watermark(spark: SparkSession, path: str, column: str = "date") -> date | None:

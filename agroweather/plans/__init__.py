@@ -8,6 +8,7 @@ from agroweather.plans.catalog import (
     run_checks,
     with_rules,
 )
+from agroweather.plans.check_state import run_checks_by_period
 from agroweather.plans.features import season_features
 from agroweather.plans.freshness import AgeLimits, StaleSource, enforce_freshness, source_freshness
 from agroweather.plans.ingestion import (
@@ -77,6 +78,7 @@ __all__ = [
     "register_views",
     "request_batches",
     "run_checks",
+    "run_checks_by_period",
     "season_features",
     "source_freshness",
     "stage_weather",

@@ -179,40 +179,69 @@ def _failing_records(rows: DataFrame) -> DataFrame:
     return rows.agg(F.sum("n_records").alias("failures"))
 
 
-def _one_pass(
-    name: str, checks: ModelChecks, key: list[str], model: Callable[[str], DataFrame]
+def one_pass_key(checks: ModelChecks) -> list[str] | None:
+    """The one key that covers a model's other checks, so that one grouping answers all of them."""
+    keys = [checks.unique_together] if checks.unique_together else []
+    keys += [[column] for column in checks.unique]
+    if len(keys) == 1 and {*checks.accepted, *checks.references} <= set(keys[0]):
+        return keys[0]
+    return None
+
+
+def _by_value(checks: ModelChecks) -> list[str]:
+    return list(dict.fromkeys([*checks.accepted, *checks.references]))
+
+
+def _sums(checks: ModelChecks) -> list[str]:
+    return [f"__nulls_{i}" for i in range(len(checks.not_null))] + [
+        f"__broken_{i}" for i in range(len(checks.holds))
+    ]
+
+
+def value_counts(
+    df: DataFrame, checks: ModelChecks, key: list[str], within: dict[str, Column] | None = None
 ) -> DataFrame:
-    """Every check of a model from one grouping of its rows by ``key``.
+    """Rows, NULLs, broken rules and repeated keys per value of the columns that have
+    accepted values or a parent.
 
-    The rows of a key are counted, with their NULLs and broken rules, before the one large
-    shuffle; these counts are combined again per value of the columns that have
-    accepted values or a parent, and only those meet the parents.
+    The rows of a key are counted before the one large shuffle. ``within`` names
+    further groups; a key lies in one of them, so that counts of several groups add up.
     """
-    by_value = list(dict.fromkeys([*checks.accepted, *checks.references]))
-    counted_rows: dict[str, Column] = {
-        f"__nulls_{i}": F.count_if(F.col(column).isNull()) for i, column in enumerate(checks.not_null)
-    }
-    counted_rows |= {
-        f"__broken_{i}": F.count_if(~F.expr(rule)) for i, rule in enumerate(checks.holds.values())
-    }
-    ignore_nulls = not checks.unique_together
+    within = within or {}
+    counted = [F.count_if(F.col(column).isNull()) for column in checks.not_null]
+    counted += [F.count_if(~F.expr(rule)) for rule in checks.holds.values()]
     duplicate = F.col("__n") > 1
-    if ignore_nulls:
+    if not checks.unique_together:  # a single column, whose NULLs pass
         duplicate &= F.col(key[0]).isNotNull()
-    counted = (
-        model(name)
-        .groupBy(*key)
+    return (
+        df.groupBy(*key, *[column.alias(name) for name, column in within.items()])
         .agg(
             F.count(F.lit(1)).alias("__n"),
-            *[count.alias(alias) for alias, count in counted_rows.items()],
+            *[count.alias(name) for name, count in zip(_sums(checks), counted, strict=True)],
         )
-        .groupBy(*by_value)
+        .groupBy(*within, *_by_value(checks))
         .agg(
             F.count_if(duplicate).alias("__duplicates"),
             F.sum("__n").alias("__n"),
-            *[F.sum(alias).alias(alias) for alias in counted_rows],
+            *[F.sum(name).alias(name) for name in _sums(checks)],
         )
     )
+
+
+def merged_counts(counted: DataFrame, checks: ModelChecks) -> DataFrame:
+    """The :func:`value_counts` of several groups as those of all their rows."""
+    sums = ["__duplicates", "__n", *_sums(checks)]
+    return counted.groupBy(*_by_value(checks)).agg(*[F.sum(name).alias(name) for name in sums])
+
+
+def results_of(
+    name: str,
+    checks: ModelChecks,
+    key: list[str],
+    counted: DataFrame,
+    model: Callable[[str], DataFrame],
+) -> DataFrame:
+    """Every check of a model from its :func:`value_counts`; only these meet the parents."""
     for i, (column, (parent, parent_column)) in enumerate(checks.references.items()):
         known = (
             model(parent)
@@ -225,7 +254,7 @@ def _one_pass(
 
     failures = [("not_null", column, F.sum(f"__nulls_{i}")) for i, column in enumerate(checks.not_null)]
     failures += [("holds", rule, F.sum(f"__broken_{i}")) for i, rule in enumerate(checks.holds)]
-    kind = "unique" if ignore_nulls else "unique_combination"
+    kind = "unique_combination" if checks.unique_together else "unique"
     failures.append((kind, ",".join(key), F.sum("__duplicates")))
     for column, values in checks.accepted.items():
         unexpected = F.when(~F.col(column).isin(values), F.col(column))
@@ -283,10 +312,9 @@ def _model_results(
     name: str, checks: ModelChecks, model: Callable[[str], DataFrame]
 ) -> list[DataFrame]:
     """One pass where the model has one key that covers its other checks, else one per check."""
-    keys = [checks.unique_together] if checks.unique_together else []
-    keys += [[column] for column in checks.unique]
-    if len(keys) == 1 and {*checks.accepted, *checks.references} <= set(keys[0]):
-        return [_one_pass(name, checks, keys[0], model)]
+    key = one_pass_key(checks)
+    if key:
+        return [results_of(name, checks, key, value_counts(model(name), checks, key), model)]
     return _pass_per_check(name, checks, model)
 
 

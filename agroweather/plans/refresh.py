@@ -55,8 +55,15 @@ CHANGED_DAYS = "changed_days"
 
 def raw_files(spark: SparkSession, raw_path: str, period: Column) -> DataFrame:
     """``(period, files, digest)`` of a table partitioned by ``date``, without opening a file."""
+    return folder_files(spark, raw_path, "date", period, "date")
+
+
+def folder_files(
+    spark: SparkSession, path: str, column: str, period: Column, kind: str | None = None
+) -> DataFrame:
+    """:func:`raw_files` of a table partitioned by ``column``, whose values are read as ``kind``."""
     return (
-        listed_files(spark, raw_path)
+        listed_files(spark, path, column, kind)
         .select(
             period.alias("period"),
             F.xxhash64("path", "length", "modificationTime").alias("file"),
@@ -90,7 +97,7 @@ def _folder(column: str, value: date | int | None) -> str:
     return f"{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
 
 
-def _among(column: Column, values: Iterable) -> Column:
+def among(column: Column, values: Iterable) -> Column:
     """Whether the column has one of the values, NULL among them; prunes as a partition filter."""
     known = [value for value in values if value is not None]
     found = column.isin(known) if known else F.lit(False)
@@ -150,7 +157,7 @@ def store_weather(
     if months is None:
         _write_staged(raw, staged_path, REPLACE_TABLE)
     elif months:
-        days = _among(F.trunc("date", "month"), months)
+        days = among(F.trunc("date", "month"), months)
         _write_staged(raw.filter(days), staged_path, REPLACE_PARTITIONS, [_folder(MONTH, m) for m in months])
 
     staged = read_table(spark, staged_path, STAGED_BY_MONTH)
@@ -159,7 +166,7 @@ def store_weather(
         _write_features(features, features_path, REPLACE_TABLE)
     else:
         years = {month and month.year for month in months}
-        features = features_of(staged.filter(_among(F.year(MONTH), years)), season_start, season_end)
+        features = features_of(staged.filter(among(F.year(MONTH), years)), season_start, season_end)
         _write_features(features, features_path, REPLACE_PARTITIONS, [_folder("year", y) for y in years])
     if seen is not None:
         write_table(seen.withColumn("season", F.lit(season)), ledger_path)

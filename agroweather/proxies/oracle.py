@@ -436,6 +436,9 @@ ORACLES: dict[str, str] = {
     "q_dq_gated": _statement(
         ["analysis", "commodities", "dates_2025"], _suite(with_rules(CHECKS, q.RULES))
     ),
+    "q_dq_by_period": _statement(
+        ["stg_yields", "counties"], _suite({"fact_crop_yield": CHECKS["fact_crop_yield"]})
+    ),
     "q_dq_quarantine": _statement(
         ["stg_weather", "stg_yields"],
         f"""{_held("stg_weather", "CAST(date AS VARCHAR)", q.RULES["stg_weather_daily"])}

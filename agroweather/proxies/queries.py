@@ -14,7 +14,7 @@ from agroweather.functions import bu_acre_to_t_ha, county_fips, parse_yield
 from agroweather.operators import publish, sinks
 from agroweather.operators.publish import REPLACE_PARTITIONS, REPLACE_TABLE
 from agroweather.proxies import payloads, views
-from agroweather.schemas import ANALYSIS, RAW_WEATHER, RAW_YIELD, STAGED_WEATHER
+from agroweather.schemas import ANALYSIS, CROP_YIELD, RAW_WEATHER, RAW_YIELD, STAGED_WEATHER
 from agroweather.session import configure, remove_folder, scratch_path
 from agroweather.sources import (
     Lake,
@@ -466,6 +466,20 @@ def dq_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.run_checks(models, plans.with_rules(plans.CHECKS, RULES))
 
 
+def dq_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks of the yields after the later years came in: earlier years keep their counts."""
+    lake, staged = Lake(scratch_path(spark, "by-period")), staged_yields(spark, sf_dir)
+    counties = county_dimension(spark, sf_dir)
+    checks = {"fact_crop_yield": plans.CHECKS["fact_crop_yield"]}
+    path = lake.mart("fact_crop_yield")
+    earlier = F.col("year") <= SPLIT_YEAR
+    for years, replace in ((earlier, REPLACE_TABLE), (~earlier, REPLACE_PARTITIONS)):
+        op.write_partitioned(plans.crop_yield_fact(staged.where(years)), path, "year", ["state_alpha"], replace)
+        models = {"fact_crop_yield": read_table(spark, path, CROP_YIELD), "dim_county": counties}
+        found = plans.run_checks_by_period(spark, lake, models, checks)
+    return found
+
+
 def dq_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The yields and weather days that a rule keeps out, with the rules they break."""
     lake = Lake(scratch_path(spark, "quarantine"))
@@ -601,6 +615,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_dq_relationships": dq_relationships,
     "q_dq_suite": dq_suite,
     "q_dq_gated": dq_gated,
+    "q_dq_by_period": dq_by_period,
     "q_dq_quarantine": dq_quarantine,
     "q_dq_ranges": dq_ranges,
     "q_dq_weather_ranges": dq_weather_ranges,
