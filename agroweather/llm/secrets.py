@@ -4,7 +4,9 @@ Method: candidate strings are runs of key characters; a window slides over each
 and its Shannon entropy is kept up to date from incremental counts, one
 threshold per character class; windows above it join to spans, and an allow
 list removes what is random by design. Spans of the plain patterns (assignment,
-access key, hexadecimal run) are found besides and always stay. Rows are
+access key, hexadecimal run) are found besides and always stay; what they leave
+of a candidate is scanned if a window fits into it. The allow list is tried on
+the whole piece and on the words that a found span touches. Rows are
 independent: one map, no shuffle.
 
 Defined results: a NULL text is the empty text, which has no spans (counts 0,
@@ -17,7 +19,7 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -43,14 +45,17 @@ CLASSES = (
     ("alnum", re.compile(r"[A-Za-z0-9]+"), 3.7),
     ("base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 3.8),
 )
-# Random by design or plain by form: UUIDs, paths and names of lower-case or capitalised words,
-# numbers. A word stands between separators, so each text fits a form in one way only: no backtracking.
+# A word in lower case or capitalised, then capitalised ones of three letters or more, or short ones in use.
+_SHORT = "An|As|At|By|Db|Do|Go|Id|If|In|Io|Ip|Is|It|My|No|Of|On|Or|To|Ui|Up|We"
+_WORDS = f"(?:[A-Z][a-z]*|[a-z]+)(?:[A-Z][a-z]{{2,}}|{_SHORT})*"
+# Random by design or plain by form: UUIDs, paths and names of words and numbers, numbers.
+# A word stands between separators, so each text fits a form in one way only: no backtracking.
 ALLOWED = (
     re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),
-    re.compile(r"[/_=-]*([A-Z][a-z]*|[a-z]+)([/_=-]+([A-Z][a-z]*|[a-z]+))*[/_=-]*"),
+    re.compile(rf"[/_=-]*(?:{_WORDS}|[0-9]+)(?:[/_=-]+(?:{_WORDS}|[0-9]+))*[/_=-]*"),
     re.compile(r"[0-9/_=+-]+"),
-    re.compile(r"([a-z]+|[0-9]{1,4})([/_-]+([a-z]+|[0-9]{1,4}))*"),
 )
+SEPARATORS = "/_=+-"
 
 Span = tuple[str, int, int]
 SCANNED = (
@@ -104,6 +109,31 @@ def entropy_spans(candidate: str, least: float) -> list[tuple[int, int]]:
     return spans
 
 
+def is_allowed(candidate: str) -> bool:
+    return any(form.fullmatch(candidate) for form in ALLOWED)
+
+
+def words_around(piece: str, start: int, end: int) -> str:
+    """The span with the rest of the words it cuts, up to the next separators."""
+    while start and piece[start - 1] not in SEPARATORS:
+        start -= 1
+    while end < len(piece) and piece[end] not in SEPARATORS:
+        end += 1
+    return piece[start:end]
+
+
+def free_pieces(start: int, end: int, covered: list[tuple[int, int]], starts: list[int]) -> Iterator[tuple[int, int]]:
+    """What ``covered``, disjoint spans in order with their ``starts``, leaves of a stretch."""
+    at = max(bisect_right(starts, start) - 1, 0)
+    while at < len(covered) and covered[at][0] < end:
+        if covered[at][0] > start:
+            yield start, covered[at][0]
+        start = max(start, covered[at][1])
+        at += 1
+    if start < end:
+        yield start, end
+
+
 def added_spans(text: str, base: list[Span]) -> list[Span]:
     """High-entropy spans outside the base spans and the allow list."""
     found: list[Span] = []
@@ -115,14 +145,16 @@ def added_spans(text: str, base: list[Span]) -> list[Span]:
             covered.append((start, end))
     starts = [start for start, _ in covered]
     for match in CANDIDATE.finditer(text):
-        candidate, at = match[0], match.start()
-        if any(allowed.fullmatch(candidate) for allowed in ALLOWED):
-            continue
-        least = next(least for _, form, least in CLASSES if form.fullmatch(candidate))
-        for start, end in entropy_spans(candidate, least):
-            before = bisect_left(starts, at + end)  # base spans from here on start behind it
-            if not before or covered[before - 1][1] <= at + start:
-                found.append(("entropy", at + start, at + end))
+        for at, to in free_pieces(*match.span(), covered, starts):
+            piece = text[at:to]
+            if len(piece) < WINDOW or is_allowed(piece):
+                continue
+            least = next(least for _, form, least in CLASSES if form.fullmatch(piece))
+            found += [
+                ("entropy", at + start, at + end)
+                for start, end in entropy_spans(piece, least)
+                if not is_allowed(words_around(piece, start, end))
+            ]
     return found
 
 
