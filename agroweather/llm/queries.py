@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from agroweather.llm import (
     bpe,
@@ -63,7 +64,8 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.filter_urls(table(spark, sf_dir, "pages"))
+    judged = url_filter.filter_urls(table(spark, sf_dir, "pages"))
+    return judged.withColumn("purity", F.round("purity", 9))
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
