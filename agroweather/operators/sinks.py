@@ -22,6 +22,12 @@ from agroweather.schemas import INGEST_STAMP, required_columns
 from agroweather.sources.lake import is_committed, read_table
 
 
+# Columns looked up by value, with the number of values a file may hold: their Bloom filters
+# tell which files of a partition split over many can hold a value. Where a file repeats
+# its values, Parquet stores their dictionary instead, which serves the same purpose.
+LOOKED_UP = {"fips": 4096}
+
+
 class RequiredFieldError(ValueError):
     """A required column holds NULLs."""
 
@@ -35,7 +41,8 @@ def write_beside(
 ) -> None:
     """Hive-partitioned Parquet in the table's ``incoming`` folder, to be published or discarded.
 
-    Rows within a file are ordered by ``cluster_by``. Rebalancing brings a
+    Rows within a file are ordered by ``cluster_by``; those of these columns that are
+    ``LOOKED_UP`` get Bloom filters. Rebalancing brings a
     partition value together in one file where it is small and lets adaptive
     execution split it over tasks where it is large, so that one huge day does
     not end in one task. A frame read from files already laid out by
@@ -44,9 +51,19 @@ def write_beside(
     """
     recover(df.sparkSession, path)
     placed = df.hint("rebalance", F.col(partition_by)) if rebalance else df
+    filters = {
+        option: value
+        for name, values in LOOKED_UP.items()
+        if name in cluster_by
+        for option, value in (
+            (f"parquet.bloom.filter.enabled#{name}", "true"),
+            (f"parquet.bloom.filter.expected.ndv#{name}", str(values)),
+        )
+    }
     (
         placed.sortWithinPartitions(partition_by, *cluster_by)
-        .write.mode("overwrite")
+        .write.options(**filters)
+        .mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(partition_by)
         .parquet(incoming(path))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from agroweather import operators as op
 from agroweather import plans
+from agroweather.operators import sinks
 from agroweather.plans.ingestion import STATES
 from agroweather.sources.constants import constant_rows
 from agroweather.functions import in_season
@@ -150,6 +151,26 @@ def test_hot_day_is_split_over_files(spark, tmp_path):
     assert spark.read.parquet(path).count() == 40000
 
 
+def test_one_county_is_read_from_the_files_that_may_hold_it(spark, tmp_path, monkeypatch):
+    """A day split over files that all span the counties: Bloom filters tell them apart."""
+    made = spark.range(8000).select(
+        F.format_string("%05d", (F.col("id") * 7919 % 8000).cast("int")).alias("fips"),
+        F.lit(day("2025-04-01")).alias("date"),
+        F.sha2(F.col("id").cast("string"), 256).alias("body"),
+    ).repartition(8, "fips")
+
+    def scanned(path):
+        found = spark.read.parquet(path).where("fips = '04321'")
+        assert len(found.collect()) == 1
+        scan = found._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        return scan.metrics().apply("numOutputRows").value()
+
+    op.write_partitioned(made, str(tmp_path / "with"), "date", ["fips"], rebalance=False)
+    monkeypatch.setattr(sinks, "LOOKED_UP", {})
+    op.write_partitioned(made, str(tmp_path / "without"), "date", ["fips"], rebalance=False)
+    assert scanned(str(tmp_path / "with")) < 3000 < 7000 < scanned(str(tmp_path / "without"))
+
+
 def test_orphan_check_shuffles_counted_keys(spark, tmp_path):
     """With a parent too large to broadcast, child keys are counted before they are shuffled."""
     yields, _, counties = _tables(spark, str(tmp_path), 200)
