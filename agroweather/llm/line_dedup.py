@@ -1,14 +1,16 @@
 """Line dedup (operator 1), DataFrame functions only.
 
 Method: every line of at least ``LEAST_LENGTH`` code points becomes a row of its
-key's hash, document and position. These rows are range-partitioned by hash,
-document (last first) and position and sorted alike, so equal lines stand
-together with the document that keeps them first; a line that fills many
-documents is spread over neighbouring partitions, as document and position
-belong to the range. A key's first document and its number of documents are
-taken from these runs; the other documents' positions are gathered to one
-run-length-compressed keep bitmap per document. Texts are only joined with
-their bitmap at the end.
+key's hash, document and position. These narrow rows are stored, so that the
+texts are split once, then range-partitioned by hash, document (last first) and
+position and sorted alike: equal lines stand together, the document that keeps
+them first. A line that fills many documents is spread over neighbouring
+partitions, as document and position belong to the range. Each partition's
+slice of a key is streamed in that order for its first document and its number
+of documents. Only keys that reach over a partition's edge, at most one for each
+pair of neighbours, have several slices; theirs are joined along the edges. The
+other documents' positions are gathered to one run-length-compressed keep bitmap
+per document. Texts are only joined with their bitmap at the end.
 
 A key is the line without white space ``[\\x20\\x09-\\x0D]`` at both ends, A-Z
 lower-cased. A key found in at least ``LEAST_DOCUMENTS`` documents loses all its
@@ -22,7 +24,7 @@ gives an empty table; further columns are kept by ``dedup_lines`` as they are.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agroweather.llm.common import lower_ascii, set_aside, stored
@@ -40,39 +42,82 @@ def line_key(line: Column) -> Column:
     return lower_ascii(F.btrim(line, F.lit(BLANK)))
 
 
-def line_runs(docs: DataFrame) -> DataFrame:
-    """Rows ``h1, h2, doc, body, pos`` of all long lines, in sorted runs.
+def long_lines(docs: DataFrame) -> DataFrame:
+    """Rows ``h1, h2, doc, body, pos`` of all long lines.
 
     ``body`` is the hash of the whole text; with the id it names a row, so that
     rows which share an id keep their positions apart.
     """
-    long_enough = F.length("key") >= LEAST_LENGTH
-    rows = (
+    return (
         docs.where("doc IS NOT NULL")
         .select("doc", F.xxhash64("text").alias("body"), F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
         .where(F.length("line") >= LEAST_LENGTH)
         .select("doc", "body", "pos", line_key(F.col("line")).alias("key"))
-        .where(long_enough)
+        .where(F.length("key") >= LEAST_LENGTH)
         .select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), "doc", "body", "pos")
     )
+
+
+def line_runs(lines: DataFrame) -> DataFrame:
+    """The rows of ``long_lines`` in sorted runs, with the number ``part`` of their range partition."""
     order = [F.col("h1"), F.col("h2"), F.col("doc").desc(), F.col("pos")]
-    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return lines.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+
+
+def streamed(runs: DataFrame) -> DataFrame:
+    """``runs`` with ``first_doc``, ``last_doc`` and ``documents`` of each row's slice, and whether it is its ``head``.
+
+    A slice is what one range partition holds of a key, so it is never larger than that.
+    """
+    ordered = Window.partitionBy("part", "h1", "h2").orderBy(F.col("doc").desc(), "pos")
+    slice_of = Window.partitionBy("part", "h1", "h2")
+    before = F.lag("doc").over(ordered)
+    return (
+        runs.withColumn("head", F.row_number().over(ordered) == 1)
+        .withColumn("opens", (F.col("head") | (before != F.col("doc"))).cast("long"))
+        .withColumn("first_doc", F.first("doc").over(ordered))
+        .withColumn("last_doc", F.min("doc").over(slice_of))
+        .withColumn("documents", F.sum("opens").over(slice_of))
+        .drop("opens")
+    )
+
+
+def joined_slices(runs: DataFrame) -> DataFrame:
+    """``h1, h2, whole_first, whole_documents`` of the keys that reach over a partition's edge.
+
+    Such a key is the last of one partition and the first of the next, so there are
+    fewer of them than partitions. A document cut by the edge counts once.
+    """
+    ends = runs.groupBy("part").agg(F.array(F.min("h1"), F.max("h1")).alias("ends"))
+    reaching = (
+        ends.select("part", F.explode(F.array_distinct("ends")).alias("h1"))
+        .groupBy("h1")
+        .agg(F.count(F.lit(1)).alias("slices"))
+        .where(F.col("slices") > 1)
+        .select("h1")
+    )
+    slices = streamed(runs.join(F.broadcast(reaching), "h1", "left_semi")).where("head")
+    along = Window.partitionBy("h1", "h2").orderBy("part")
+    cut = (F.lag("last_doc").over(along) == F.col("first_doc")).cast("long")
+    return (
+        slices.withColumn("cut", F.coalesce(cut, F.lit(0)))
+        .groupBy("h1", "h2")
+        .agg(F.max("first_doc").alias("whole_first"), F.sum(F.col("documents") - F.col("cut")).alias("whole_documents"))
+    )
 
 
 def dropped_runs(runs: DataFrame) -> DataFrame:
     """Per row (``doc``, ``body``) the dropped positions and the compressed keep bitmap.
 
-    ``keep`` lists the runs of kept lines as start and end, the last one open.
+    ``runs`` are stored. ``keep`` lists the runs of kept lines as start and end, the last one open.
     """
-    firsts = (
-        runs.groupBy("h1", "h2")
-        .agg(F.count_distinct("doc").alias("documents"), F.max("doc").alias("first_doc"))
-        .where(F.col("documents") >= LEAST_DOCUMENTS)
-        .select("h1", "h2", "first_doc")
+    reaching = stored(joined_slices(runs), "line-edges")
+    dropped = (
+        streamed(runs)
+        .join(F.broadcast(reaching), ["h1", "h2"], "left")
+        .where(F.coalesce("whole_documents", "documents") >= LEAST_DOCUMENTS)
+        .where(F.col("doc") < F.coalesce("whole_first", "first_doc"))
     )
-    # stored, so that the join plans both its sides by size and can split a frequent line
-    firsts = stored(firsts, "line-firsts")
-    dropped = runs.join(firsts, ["h1", "h2"]).where(F.col("doc") < F.col("first_doc"))
     gathered = dropped.groupBy("doc", "body").agg(F.array_sort(F.collect_set("pos")).alias("gone"))
     starts = F.concat(F.array(F.lit(0)), F.transform("gone", lambda p: p + 1))
     ends = F.concat("gone", F.array(F.lit(2147483647)))
@@ -90,7 +135,8 @@ HELPERS = ["__doc", "__body", "__keep", "__lines", "__gone", "__kept"]
 
 def with_kept_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with ``__lines`` (before dropping), ``__gone`` (number dropped) and ``__kept`` (text)."""
-    runs = stored(line_runs(docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))), "line-runs")
+    lines = stored(long_lines(docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))), "lines")
+    runs = stored(line_runs(lines), "line-runs")
     marks = dropped_runs(runs).select(
         F.col("doc").alias("__doc"), F.col("body").alias("__body"), F.col("n_gone").alias("__gone"), F.col("keep").alias("__keep")
     )

@@ -5,8 +5,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from agroweather.llm import components, embedding_join, line_dedup, ngram_join, url_filter
+from agroweather.llm import common, components, embedding_join, line_dedup, ngram_join, url_filter
 from tests.llm.conftest import CASES, prose, rows_of
 
 BLANK = " \t\n\x0b\x0c\r"
@@ -72,6 +73,39 @@ def test_line_dedup_random(spark):
     assert got == Counter((doc_id, text) for doc_id, _, _, text in brute_lines(cases))
 
 
+@pytest.mark.parametrize("parts", [3, 16])
+def test_line_dedup_joins_slices_of_hot_lines(spark, parts):
+    """Two lines fill most rows, so that each covers several range partitions; one document is cut by their edges."""
+    draw = random.Random(parts)
+    hot = [prose(i, 4) for i in range(2)]
+    cases = [
+        (i // 2, "\n".join([*(draw.choice(hot) for _ in range(draw.randrange(1, 6))), prose(100 + i % 50, 4)]))
+        for i in range(400)
+    ]
+    cases.append((77, "\n".join([hot[0]] * 500)))
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled"]
+    before = [spark.conf.get(key) for key in keys]
+    try:
+        for key, value in zip(keys, [str(parts), "false"], strict=True):
+            spark.conf.set(key, value)
+        docs = spark.createDataFrame(cases, "doc_id long, text string")
+        lines = docs.select(F.col("doc_id").alias("doc"), "text")
+        runs = common.stored(line_dedup.line_runs(line_dedup.long_lines(lines)), "line-runs")
+        reaching = line_dedup.joined_slices(runs).collect()
+        got = Counter((row.doc_id, row.text) for row in line_dedup.dedup_lines(docs).collect())
+    finally:
+        for key, value in zip(keys, before, strict=True):
+            spark.conf.set(key, value)
+    assert 1 <= len(reaching) < parts
+    holders = {}
+    for doc_id, text in cases:
+        for line in text.split("\n"):
+            holders.setdefault(line, set()).add(doc_id)
+    known = {(max(own), len(own)) for own in holders.values()}
+    assert all((row.whole_first, row.whole_documents) in known for row in reaching)
+    assert got == Counter((doc_id, text) for doc_id, _, _, text in brute_lines(cases))
+
+
 def test_line_dedup_runs_no_python(docs):
     plan = line_dedup.line_report(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
