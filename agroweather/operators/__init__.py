@@ -1,4 +1,5 @@
 from agroweather.operators.batching import point_batches
+from agroweather.operators.bucketing import bucket_count, bucketed_table, write_bucketed
 from agroweather.operators.checks import (
     broken_rules,
     content_digest,
@@ -34,6 +35,8 @@ __all__ = [
     "RecordLimitExceeded",
     "RequiredFieldError",
     "broken_rules",
+    "bucket_count",
+    "bucketed_table",
     "content_digest",
     "differing_groups",
     "duplicate_keys",
@@ -54,6 +57,7 @@ __all__ = [
     "require_not_null",
     "unexpected_values",
     "work_list",
+    "write_bucketed",
     "write_partitioned",
     "write_table",
     "year_is_loaded",

@@ -9,6 +9,7 @@ from agroweather.plans.catalog import (
     with_rules,
 )
 from agroweather.plans.check_state import run_checks_by_period
+from agroweather.plans.colocated import colocated_analysis, open_colocated, store_colocated
 from agroweather.plans.features import season_features
 from agroweather.plans.freshness import AgeLimits, StaleSource, enforce_freshness, source_freshness
 from agroweather.plans.ingestion import (
@@ -61,6 +62,7 @@ __all__ = [
     "build_models",
     "build_warehouse",
     "calendar",
+    "colocated_analysis",
     "commodity_dimension",
     "county_dimension",
     "county_seed",
@@ -71,6 +73,7 @@ __all__ = [
     "ingest_weather",
     "ingest_yield",
     "ingest_yield_if_new",
+    "open_colocated",
     "open_models",
     "quarantine",
     "refresh_fact",
@@ -84,6 +87,7 @@ __all__ = [
     "stage_weather",
     "stage_yields",
     "state_yields",
+    "store_colocated",
     "store_weather",
     "stored_weather",
     "weather_yield_analysis",

@@ -310,6 +310,7 @@ ORACLES: dict[str, str] = {
     ),
     "q_weather_yield_analysis": _statement(["analysis"], "SELECT * FROM analysis"),
     "q_analysis_table": _statement(["analysis"], "SELECT * FROM analysis"),
+    "q_analysis_colocated": _statement(["analysis"], "SELECT * FROM analysis"),
     "q_yield_unit_conversion": _statement(
         ["raw_yields"],
         """SELECT state_fips_code, county_code, commodity_desc, year, value_raw, yield_value,

@@ -56,6 +56,7 @@ RULES = {
         "dry_and_hot": "NOT (heat_stress_days > 5 AND dry_days = 0)",
     },
 }
+COLOCATED_BUCKETS = 16
 CUT_MONTH = 6
 LATE_YEAR = 1996
 TAMPERED_DAYS = [date(1996, 3, 1), date(1997, 7, 4), date(1998, 12, 31)]
@@ -186,6 +187,15 @@ def analysis_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path, ANALYSIS)
 
 
+def analysis_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart joined from features and yields stored by buckets of county and year."""
+    path = scratch_path(spark, "colocated")
+    lake, prefix = Lake(path), f"mart_{path[-32:]}_"
+    plans.store_colocated(features(spark, sf_dir), crop_yields(spark, sf_dir), lake, COLOCATED_BUCKETS, prefix)
+    stored = plans.open_colocated(spark, lake, COLOCATED_BUCKETS, prefix)
+    return plans.colocated_analysis(*stored, county_dimension(spark, sf_dir))
+
+
 def yield_unit_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every raw record, whatever its unit, statistic or commodity."""
     parsed = views.raw_yields(spark, sf_dir).withColumn(
@@ -590,6 +600,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_fact_crop_yield": crop_yields,
     "q_weather_yield_analysis": weather_yield_analysis,
     "q_analysis_table": analysis_table,
+    "q_analysis_colocated": analysis_colocated,
     "q_yield_unit_conversion": yield_unit_conversion,
     "q_parse_weather_payload": parse_weather,
     "q_parse_yield_payload": parse_yields,

@@ -17,8 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _state_code(key: str) -> Column:
-    """In base 36, so that two characters hold the states of 1,295,000 suppliers."""
-    return F.conv((F.lit(1) + F.expr(f"{key} div 1000")).cast("string"), 10, 36)
+    """In base 36, so that two characters hold the states of 1,295,000 suppliers; more are an error."""
+    state = F.lit(1) + F.expr(f"{key} div 1000")
+    wide = F.raise_error(F.lit("a state of two characters holds suppliers up to 1,294,999")).cast("string")
+    return F.when((state < 36 * 36) | state.isNull(), F.conv(state.cast("string"), 10, 36)).otherwise(wide)
 
 
 def _county_code(key: str) -> Column:

@@ -14,7 +14,7 @@ from agroweather.plans.ingestion import STATES
 from agroweather.sources.constants import constant_rows
 from agroweather.functions import in_season
 from agroweather.schemas import RAW_WEATHER, STAGED_WEATHER
-from agroweather.sources import attach_points, parse_weather_payloads, parse_yield_payloads, read_table
+from agroweather.sources import Lake, attach_points, parse_weather_payloads, parse_yield_payloads, read_table
 from tests.conftest import day, stamp
 
 
@@ -135,6 +135,27 @@ def test_hot_county_year_is_split_over_tasks(spark, tmp_path):
         assert mart.select("commodity").distinct().count() == 20000
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    """Below the mart's join stand scans only, also for tables declared anew; one county's years lie in many buckets."""
+    yields, features, counties = _tables(spark, str(tmp_path / "in"), 400)
+    lake = Lake(str(tmp_path / "lake"))
+    want = sorted(map(str, plans.weather_yield_analysis(yields, features, counties).collect()))
+    assert len(want) >= 400
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1",
+                  spark__sql__adaptive__autoBroadcastJoinThreshold="-1"):
+        stored = plans.store_colocated(features, yields, lake, 8, "first_")
+        again = plans.open_colocated(spark, lake, 8, "second_")
+        for pair in (stored, again):
+            mart = plans.colocated_analysis(*pair, F.broadcast(counties))
+            text = executed(mart)
+            assert "SortMergeJoin" in text and "Exchange hashpartitioning" not in text
+            assert sorted(map(str, mart.collect())) == want
+    one = spark.range(40).select(F.lit("00001").alias("fips"), F.col("id").alias("year"))
+    spread = op.write_bucketed(one, "one_county", str(tmp_path / "one"), ["fips", "year"], 8)
+    assert spread.select(F.input_file_name().alias("file")).distinct().count() > 4
+    assert [op.bucket_count(n, 100) for n in (0, 100, 101, 250, 900)] == [1, 1, 2, 4, 16]
+
+
 def test_hot_day_is_split_over_files(spark, tmp_path):
     """One day holds most rows: its partition is written by several tasks."""
     made = spark.range(40000).select(
