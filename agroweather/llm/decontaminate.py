@@ -3,9 +3,12 @@
 Method: a generalised suffix automaton over the normalised words of all test
 items. A document's words are streamed through it while the longest matching
 length is kept; wherever that length reaches a window, the window's words are
-hit. The automaton is built from items in blocks of a bounded number of words
-and broadcast block by block, so what is broadcast does not grow with the
-benchmark. Documents are mapped, not shuffled.
+hit. Tasks cut the items into blocks of a bounded number of words, a longer item
+into pieces that share a window less one word, and build an automaton of each.
+The packed automata are stored and broadcast ``BLOCKS_AT_ONCE`` at a time, so what
+passes the driver is bounded. A task holds one automaton: it takes them one after
+the other over a bounded share of its documents. Documents are mapped, not
+shuffled, and read once for every ``BLOCKS_AT_ONCE`` blocks.
 
 Words: A-Z lower-cased, runs of digits, a-z and non-ASCII characters. A window is
 ``WINDOW`` consecutive words of an item; a shorter, non-empty item is one window.
@@ -18,7 +21,9 @@ rows; an empty table gives an empty table, an empty benchmark no hits.
 
 from __future__ import annotations
 
+import pickle
 import re
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,10 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agroweather.llm.common import free_name, sha256, shared_model, slices, stored
+from agroweather.llm.common import free_name, sha256, slices, stored
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
+BLOCKS_PER_TASK = 4  # built one after the other
+BLOCKS_AT_ONCE = 24  # of about 4 MB each when packed
+HELD_BYTES = 64 << 20  # of documents that a task keeps while it changes automata
 # Share of a text's words from which on the whole document goes.
 COVERAGE_LIMIT = 0.5
 
@@ -70,6 +78,20 @@ class SuffixAutomaton:
         for item, codes in coded:
             self._mark(item, codes)
         self.shortest = min((min(len(codes), window) for _, codes in coded), default=0)
+        # a state's nearest one with marks, itself or up its links; 0 where there is none
+        self.marked = [0] * len(self.length)
+        for state in sorted(range(1, len(self.length)), key=self.length.__getitem__):
+            self.marked[state] = state if state in self.marks else self.marked[self.link[state]]
+
+    def pack(self) -> bytes:
+        """Plain data, without the class, which workers may have by value only."""
+        return zlib.compress(pickle.dumps(vars(self)), 1)
+
+    @classmethod
+    def unpack(cls, data: bytes) -> SuffixAutomaton:
+        own = cls.__new__(cls)
+        vars(own).update(pickle.loads(zlib.decompress(data)))
+        return own
 
     def _clone(self, source: int, length: int) -> int:
         self.step.append(dict(self.step[source]))
@@ -146,13 +168,13 @@ class SuffixAutomaton:
             for place, state, matched in self.stream(codes[start:end].tolist()):
                 if matched < self.shortest:
                     continue
-                longest = 0
-                while state > 0:
-                    for size, holders in self.marks.get(state, {}).items():
+                longest, state = 0, self.marked[state]
+                while state:
+                    for size, holders in self.marks[state].items():
                         if size <= matched:
                             longest = max(longest, size)
                             items |= holders
-                    state = self.link[state]
+                    state = self.marked[self.link[state]]
                 if longest:
                     begin, stop = start + place + 1 - longest, start + place + 1
                     while spans and begin <= spans[-1][1]:
@@ -171,24 +193,60 @@ def joined_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def item_blocks(
-    benchmark: DataFrame, item_id: str, text: str, block_words: int
-) -> Iterator[list[tuple[object, list[bytes]]]]:
-    """The distinct items in blocks of about ``block_words`` words, one at a time on the driver.
+def pieces(words: list[bytes], window: int, most: int) -> list[list[bytes]]:
+    """``words`` in pieces of at most ``most`` (a window at least) that hold all its windows."""
+    most = max(most, window)
+    if len(words) <= most:
+        return [words]
+    return [words[at : at + most] for at in range(0, len(words) - window + 1, most - window + 1)]
 
-    An item is one unit; a single longer item makes a block of its own.
-    """
-    items = benchmark.selectExpr(f"`{item_id}` AS item", f"`{text}` AS text").distinct()
-    block, held = [], 0
-    for row in items.toLocalIterator():
-        words = words_of(row.text)
-        if block and held + len(words) > block_words:
-            yield block
-            block, held = [], 0
-        block.append((row.item, words))
-        held += len(words)
-    if block:
-        yield block
+
+def packed_automata(
+    benchmark: DataFrame, item_id: str, text: str, window: int, block_words: int
+) -> DataFrame:
+    """Rows ``part, seq, data``: the packed automaton of each block of the distinct items."""
+    items = benchmark.select(F.col(item_id).alias("item"), F.col(text).alias("text"))
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = 1 + size // (6 * block_words * BLOCKS_PER_TASK)  # a word takes about six bytes
+    dealt = items.repartition(tasks, "item", "text").distinct().select(F.spark_partition_id().alias("part"), "item", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block: list[tuple[str | None, list[bytes]]] = []
+        held = seq = part = 0
+
+        def built() -> pa.RecordBatch:
+            row = [[part], [seq], [SuffixAutomaton(block, window).pack()]]
+            kinds = [pa.int32(), pa.int32(), pa.binary()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(cell, kind) for cell, kind in zip(row, kinds, strict=True)], names=["part", "seq", "data"]
+            )
+
+        for batch in slices(batches):
+            for part, item, value in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                for piece in pieces(words_of(value), window, block_words):
+                    if block and held + len(piece) > block_words:
+                        yield built()
+                        block, held, seq = [], 0, seq + 1
+                    if piece:
+                        block.append((None if item is None else str(item), piece))
+                        held += len(piece)
+        if block:
+            yield built()
+
+    return dealt.mapInArrow(run, "part int, seq int, data binary")
+
+
+def held_slices(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[pa.RecordBatch]]:
+    """The slices of ``batches`` in lists of about ``most`` bytes, one slice at least."""
+    held, size = [], 0
+    for batch in slices(batches):
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 SPANS = T.ArrayType(T.ArrayType(T.IntegerType()))
@@ -211,8 +269,8 @@ def find_hits(
     """What ``finish`` makes of each batch of ``docs``, its joined hit spans and the items found.
 
     Spans count words, items are ids as sorted strings. One pass over the
-    documents per block of items, ``finish`` in the last; between two passes the
-    rows are stored with what was found, so only one block is held at a time.
+    documents per ``BLOCKS_AT_ONCE`` blocks of items, ``finish`` in the last;
+    between two passes the rows are stored with what was found.
     """
     spark, names = docs.sparkSession, docs.columns
     place = names.index(text)
@@ -220,39 +278,46 @@ def find_hits(
     out = docs.withColumn(held[0], F.array().cast(SPANS)).withColumn(held[1], F.array().cast(ITEMS))
     between = out.schema
 
-    def passing(automaton_of: Callable[[], SuffixAutomaton], last: bool):
+    def passing(packed: list[bytes], last: bool):
+        shared = spark.sparkContext.broadcast(packed)
+
+        def search(batch: pa.RecordBatch, automaton: SuffixAutomaton, spans: list, items: list) -> None:
+            for row, value in enumerate(batch.column(place).to_pylist()):
+                found, holders = automaton.find(words_of(value))
+                if found:
+                    spans[row] = joined_spans([*map(tuple, spans[row]), *found])
+                    items[row] = sorted({item for item in holders if item is not None}.union(items[row]))
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            automaton = automaton_of()
-            for batch in slices(batches):
-                spans, items = batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist()
-                for row, value in enumerate(batch.column(place).to_pylist()):
-                    found, holders = automaton.find(words_of(value))
-                    if found:
-                        spans[row] = joined_spans([*map(tuple, spans[row]), *found])
-                        ids = {str(item) for item in holders if item is not None}
-                        items[row] = sorted(ids.union(items[row]))
-                own = pa.RecordBatch.from_arrays(batch.columns[: len(names)], names=names)
-                if last:
-                    yield finish(own, spans, items)
-                    continue
-                found_columns = [
-                    pa.array(spans, pa.list_(pa.list_(pa.int32()))),
-                    pa.array(items, pa.list_(pa.string())),
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [*own.columns, *found_columns], names=[*names, *held]
-                )
+            packed, one = shared.value, None
+            if len(packed) == 1:
+                one = SuffixAutomaton.unpack(packed[0])
+            for own in held_slices(batches, 0 if one else HELD_BYTES):
+                found = [[batch.column(len(names) + i).to_pylist() for i in range(2)] for batch in own]
+                for data in packed:
+                    automaton = one or SuffixAutomaton.unpack(data)
+                    for batch, hits in zip(own, found, strict=True):
+                        search(batch, automaton, *hits)
+                for batch, (spans, items) in zip(own, found, strict=True):
+                    plain = pa.RecordBatch.from_arrays(batch.columns[: len(names)], names=names)
+                    if last:
+                        yield finish(plain, spans, items)
+                        continue
+                    columns = [pa.array(spans, pa.list_(pa.list_(pa.int32()))), pa.array(items, pa.list_(pa.string()))]
+                    yield pa.RecordBatch.from_arrays([*plain.columns, *columns], names=[*names, *held])
 
         return run
 
-    blocks = item_blocks(benchmark, item_id, item_text, block_words)
-    block = next(blocks, [])
-    while True:
-        following = next(blocks, None)
-        run = passing(shared_model(spark, SuffixAutomaton(block, window)), following is None)
-        if following is None:
-            return out.mapInArrow(run, schema)
-        out, block = stored(out.mapInArrow(run, between), "decontaminate"), following
+    automata = stored(packed_automata(benchmark, item_id, item_text, window, block_words), "automata")
+    keys = [tuple(row) for row in automata.select("part", "seq").orderBy("part", "seq").collect()]  # one per block
+    for start in range(0, max(1, len(keys)), BLOCKS_AT_ONCE):
+        wanted = F.lit(False)
+        for part, seq in keys[start : start + BLOCKS_AT_ONCE]:
+            wanted = wanted | ((F.col("part") == part) & (F.col("seq") == seq))
+        packed = [bytes(row.data) for row in automata.where(wanted).collect()]  # BLOCKS_AT_ONCE at most
+        if start + BLOCKS_AT_ONCE >= len(keys):
+            return out.mapInArrow(passing(packed, True), schema)
+        out = stored(out.mapInArrow(passing(packed, False), between), "decontaminate")
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -280,8 +280,10 @@ def benchmark_items():
     ]
 
 
-@pytest.mark.parametrize("block_words", [200_000, 20])
-def test_decontamination_report(spark, docs, benchmark_items, block_words):
+@pytest.mark.parametrize("block_words, at_once", [(200_000, 24), (20, 24), (12, 2)])
+def test_decontamination_report(spark, docs, benchmark_items, monkeypatch, block_words, at_once):
+    """One block; several in one pass, items cut into pieces; several passes."""
+    monkeypatch.setattr(decontaminate, "BLOCKS_AT_ONCE", at_once)
     benchmark = spark.createDataFrame(benchmark_items, "item_id long, text string")
     items = [(i, decontaminate.words_of(t)) for i, t in benchmark_items]
     expected = []
@@ -293,13 +295,36 @@ def test_decontamination_report(spark, docs, benchmark_items, block_words):
     same_rows(decontaminate.contamination_report(docs, benchmark, block_words=block_words), expected)
 
 
+@pytest.mark.parametrize("size", [0, 3, 9, 10, 11, 25, 200])
+def test_pieces_hold_every_window(size):
+    words = [b"%d" % i for i in range(size)]
+    for most in (1, 10, 12, 30):
+        cut = decontaminate.pieces(words, 10, most)
+        assert all(len(piece) <= max(10, most) for piece in cut)
+        assert size < 10 or all(len(piece) >= 10 for piece in cut)
+        windows = {tuple(piece[i : i + 10]) for piece in cut for i in range(max(1, len(piece) - 9))}
+        assert windows == {tuple(words[i : i + 10]) for i in range(max(1, size - 9))}
+
+
+def test_long_item_is_spread_over_blocks(spark):
+    """One item of many blocks: each is bounded, and a passage across two pieces is found."""
+    words = [f"w{i}" for i in range(3000)]
+    benchmark = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
+    packed = decontaminate.packed_automata(benchmark, "item_id", "text", 10, 100).collect()
+    assert len(packed) == 33
+    assert all(max(decontaminate.SuffixAutomaton.unpack(row.data).length) <= 100 for row in packed)
+    docs = spark.createDataFrame([(1, " ".join(["x", *words[85:115], "y"])), (2, "w1 w3")], "doc_id long, text string")
+    got = decontaminate.contamination_report(docs, benchmark, block_words=100).collect()
+    assert sorted((row.doc_id, row.n_hit, row.n_items) for row in got) == [(1, 30, 1), (2, 0, 0)]
+
+
 def test_suffix_automaton_on_small_alphabet():
     draw = random.Random(2)
     for _ in range(60):
         items = [(i, [draw.choice([b"a", b"b", b"c"]) for _ in range(draw.randrange(9))]) for i in range(5)]
         automaton = decontaminate.SuffixAutomaton(items, 4)
         words = [draw.choice([b"a", b"b", b"c", b"d"]) for _ in range(40)]
-        spans, found = automaton.find(words)
+        spans, found = decontaminate.SuffixAutomaton.unpack(automaton.pack()).find(words)
         got = {i for s, e in decontaminate.joined_spans(spans) for i in range(s, e)}
         assert (got, found) == brute_hits(words, items, 4)
 
