@@ -3,10 +3,12 @@
 Method: sentence-rule recognition. A text is cut into sentences at ``.``, ``!``
 or ``?`` before a blank or line end (not after the ``v.`` of a version number)
 and at lines without letters and digits; it is normalised to lower-case ASCII
-letters and digits with single blanks between. A known licence sentence is
-found where it fills a whole sentence, or whole lines of one, however it is
-wrapped into lines, and is mapped to its identifier; all else is dropped. Where
-several known sentences start on one line, the longest is taken. A licence is recognised
+letters and digits with single blanks between. A known sentence fills
+a whole sentence, or whole lines of one, however it is wrapped into lines: from each
+line that begins a known sentence, the lines that follow are added one by one
+while they still begin one, and each of these is looked up in the map from
+sentences to identifiers. The longest that is known is taken and the search goes
+on behind it; all else is dropped. A licence is recognised
 where the identifiers hold one of its rules, a sequence of
 identifiers in order and next to each other. Rows are independent: one map.
 
@@ -98,6 +100,8 @@ RULES = (
     ("BSD-2-Clause", (("bsd-grant", "bsd-source", "bsd-binary", "bsd-disclaimer"),)),
 )
 
+GROUP = 256  # matches whose identifiers are listed together
+
 
 def plain_lines(text: Column) -> Column:
     """Normalised lines; an empty line stands between sentences."""
@@ -109,14 +113,74 @@ def plain_lines(text: Column) -> Column:
     return F.regexp_replace(plain, r"\x20?\n\x20?", "\n")
 
 
-def known_form(sentences: dict[str, str]) -> str:
-    """Expression for a known sentence that fills whole lines; line ends may stand for its blanks.
+def beginnings(sentences: dict[str, str]) -> list[str]:
+    """The known sentences cut after each of their words."""
+    words = [text.split(" ") for text in sentences.values()]
+    return sorted({" ".join(own[:end]) for own in words for end in range(1, len(own) + 1)})
+
+
+def known_sentences(lines: Column, sentences: dict[str, str]) -> Column:
+    """Array of ``at, end, id``: the longest known sentence from each normalised line that begins one.
 
-    The longest comes first, so it wins where several start together.
+    ``lines`` is a column of its own, so that it is made once and not for each start.
     """
-    longest = sorted(sentences.values(), key=len, reverse=True)
-    shown = "|".join(text.replace(" ", r"[\x20\n]") for text in longest)
-    return rf"(?m)^\x20?(?:{shown})(?=\x20?$)"
+    known = F.create_map(*[F.lit(value) for name, own in sentences.items() for value in (own, name)])
+    begun = beginnings(sentences)
+    longest = max((len(own.split(" ")) for own in sentences.values()), default=1)  # in lines, a word each
+    starts = F.filter(
+        F.transform(lines, lambda line, at: F.struct(at.alias("at"), line.alias("line"))),
+        lambda start: start["line"].isin(begun),
+    )
+    nothing = F.lit(None).cast("string")
+    fresh = F.struct(F.lit("").alias("read"), F.lit(True).alias("open"), F.lit(0).alias("n"), F.lit(0).alias("end"), nothing.alias("id"))
+
+    def add_line(state: Column, line: Column) -> Column:
+        read = F.when(state["read"] == "", line).otherwise(F.concat_ws(" ", state["read"], line))
+        still = state["open"] & (line != "") & read.isin(begun)
+        n = state["n"] + 1
+        found = F.when(still, F.try_element_at(known, read))
+        return F.struct(
+            F.when(still, read).otherwise(state["read"]).alias("read"),
+            still.alias("open"),
+            n.alias("n"),
+            F.when(found.isNotNull(), n).otherwise(state["end"]).alias("end"),
+            F.coalesce(found, state["id"]).alias("id"),
+        )
+
+    def from_start(start: Column) -> Column:
+        best = F.aggregate(F.slice(lines, start["at"] + 1, F.lit(longest)), fresh, add_line)
+        return F.struct(start["at"].alias("at"), (start["at"] + best["end"]).alias("end"), best["id"].alias("id"))
+
+    return F.filter(F.transform(starts, from_start), lambda match: match["id"].isNotNull())
+
+
+def apart(matches: Column) -> Column:
+    """Identifiers of the matches in order, without those that begin inside one taken before.
+
+    ``matches`` is a column of its own. They are gone through in groups, so that
+    lists are copied within and between groups only, however many there are.
+    """
+    groups = F.transform(
+        F.sequence(F.lit(0), F.floor(F.size(matches) / GROUP).cast("int")),
+        lambda group: F.slice(matches, group * GROUP + 1, GROUP),
+    )
+    empty = F.array().cast("array<string>")
+
+    def take(state: Column, match: Column) -> Column:
+        free = match["at"] >= state["end"]
+        return F.struct(
+            F.when(free, match["end"]).otherwise(state["end"]).alias("end"),
+            F.when(free, F.concat(state["ids"], F.array(match["id"]))).otherwise(state["ids"]).alias("ids"),
+        )
+
+    def take_group(state: Column, group: Column) -> Column:
+        taken = F.aggregate(group, F.struct(state["end"].alias("end"), empty.alias("ids")), take)
+        return F.struct(
+            taken["end"].alias("end"), F.concat(state["groups"], F.array(taken["ids"])).alias("groups")
+        )
+
+    start = F.struct(F.lit(0).alias("end"), F.array().cast("array<array<string>>").alias("groups"))
+    return F.flatten(F.aggregate(groups, start, take_group)["groups"])
 
 
 def scan_licenses(
@@ -129,12 +193,7 @@ def scan_licenses(
 
     ``sentences`` and ``rules`` are part of the plan, so their size is bounded by what is written there.
     """
-    pairs = [F.lit(value) for name, text in sentences.items() for value in (text, name)]
-    known = F.create_map(*pairs)
-    matches = F.regexp_extract_all(plain_lines(F.col("text")), F.lit(known_form(sentences)), F.lit(0))
-    found = F.transform(
-        matches, lambda match: F.try_element_at(known, F.trim(F.translate(match, "\n", " ")))
-    )
+    lines = F.transform(F.split(plain_lines(F.col("text")), "\n", -1), lambda line: F.trim(line))
     ids = F.concat(F.lit(","), F.array_join("found", ","), F.lit(","))
     shown = []
     for license_name, sequences in rules:
@@ -143,7 +202,9 @@ def scan_licenses(
             fits = fits | F.contains(F.col("ids"), F.lit("," + ",".join(sequence) + ","))
         shown.append(F.when(fits, F.lit(license_name)))
     return (
-        docs.select(F.col("doc_id").cast("long"), found.alias("found"))
+        docs.select(F.col("doc_id").cast("long"), lines.alias("lines"))
+        .select("doc_id", known_sentences(F.col("lines"), sentences).alias("matches"))
+        .select("doc_id", apart(F.col("matches")).alias("found"))
         .select("doc_id", F.size("found").cast("long").alias("n_sentences"), ids.alias("ids"))
         .select(
             "doc_id",

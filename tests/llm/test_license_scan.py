@@ -102,3 +102,14 @@ def test_wrapped_notices(spark):
     want.append((len(want), ""))
     got = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted((row.doc_id, row.licenses) for row in got.collect()) == want
+
+
+def test_overlaps_and_many_matches(spark):
+    """The first sentence wins over those that begin inside it; very many are counted one by one."""
+    chain = "released under\nthe MIT license\nmit\nlicense"
+    assert spark.createDataFrame([(1, chain)], "doc_id long, text string").transform(
+        license_scan.scan_licenses
+    ).first().sentence_ids == "mit-notice,mit-title"
+    docs = spark.createDataFrame([(n, "MIT License\n" * n) for n in (255, 256, 257, 20_000)], "doc_id long, text string")
+    got = license_scan.scan_licenses(docs).collect()
+    assert all(row.n_sentences == row.doc_id for row in got)
