@@ -192,6 +192,7 @@ def refresh_from_watermark(
     *,
     watermark: str,
     cluster_by: Sequence[str],
+    rebalance: bool = True,
 ) -> None:
     """Incremental table: replace the partitions from the greatest loaded value on.
 
@@ -208,7 +209,7 @@ def refresh_from_watermark(
     """
     recover(spark, path)
     if not is_committed(spark, path):
-        write_partitioned(source, path, watermark, cluster_by)
+        write_partitioned(source, path, watermark, cluster_by, rebalance=rebalance)
         return
     latest = high_watermark(spark, path, watermark)
     if latest is None:
@@ -219,4 +220,5 @@ def refresh_from_watermark(
         watermark,
         cluster_by,
         REPLACE_PARTITIONS,
+        rebalance,
     )

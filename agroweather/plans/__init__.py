@@ -22,6 +22,7 @@ from agroweather.plans.ingestion import (
     request_batches,
 )
 from agroweather.plans.marts import (
+    FACT_ORDER,
     calendar,
     commodity_dimension,
     county_dimension,
@@ -38,7 +39,7 @@ from agroweather.plans.refresh import (
     store_weather,
     stored_weather,
 )
-from agroweather.plans.staging import stage_weather, stage_yields
+from agroweather.plans.staging import stage_weather, stage_weather_in_order, stage_yields
 from agroweather.plans.warehouse import (
     backfill,
     build_models,
@@ -53,6 +54,7 @@ __all__ = [
     "ChecksFailed",
     "FACT_CHANGED",
     "FACT_FULL",
+    "FACT_ORDER",
     "FACT_WATERMARK",
     "LoadReport",
     "RULES",
@@ -85,6 +87,7 @@ __all__ = [
     "season_features",
     "source_freshness",
     "stage_weather",
+    "stage_weather_in_order",
     "stage_yields",
     "state_yields",
     "store_colocated",

@@ -19,6 +19,9 @@ COMMODITIES = [
     ("soybeans", "Soybeans", 10, 60),
 ]
 
+# The order the weather fact is stored in: days, within them counties.
+FACT_ORDER = ["date", "fips"]
+
 # The calendar the date dimension covers by default.
 CALENDAR_START = date(2025, 1, 1)
 CALENDAR_END = date(2025, 12, 31)
@@ -66,14 +69,20 @@ def date_dimension(
     return calendar(spark.range(1), F.lit(first), F.lit(last), season_start, season_end)
 
 
-def refresh_weather_fact(spark: SparkSession, staged: DataFrame, path: str) -> None:
-    """``fact_weather_daily``: incremental by date, rows of a day ordered by county."""
+def refresh_weather_fact(
+    spark: SparkSession, staged: DataFrame, path: str, placed: bool = False
+) -> None:
+    """``fact_weather_daily``: incremental by date, rows of a day ordered by county.
+
+    ``placed`` rows come in this order (``stage_weather_in_order`` by ``FACT_ORDER``).
+    """
     refresh_from_watermark(
         spark,
         staged.select(*STAGED_WEATHER.names),
         path,
         watermark="date",
         cluster_by=["fips"],
+        rebalance=not placed,
     )
 
 

@@ -27,8 +27,8 @@ from agroweather.operators.probes import listed_files
 from agroweather.operators.publish import REPLACE_PARTITIONS, REPLACE_TABLE, recover
 from agroweather.operators.sinks import write_partitioned, write_table
 from agroweather.plans.features import season_features
-from agroweather.plans.marts import refresh_weather_fact
-from agroweather.plans.staging import stage_weather
+from agroweather.plans.marts import FACT_ORDER, refresh_weather_fact
+from agroweather.plans.staging import stage_weather, stage_weather_in_order
 from agroweather.schemas import SEASON_FEATURES, STAGED_WEATHER
 from agroweather.session import remove_folder
 from agroweather.sources.lake import Lake, is_committed, read_table, table_or_none
@@ -181,6 +181,7 @@ def refresh_fact(
     *,
     mode: str = FACT_WATERMARK,
     raw_path: str | None = None,
+    placed: bool = False,
 ) -> None:
     """Bring ``fact_weather_daily`` up to date.
 
@@ -189,7 +190,8 @@ def refresh_fact(
     changed since the fact last took them, wherever they lie; days that raw no
     longer holds stay, so windows loaded one after the other add up. ``full``
     makes the fact what raw is now. ``staged`` is the whole staged weather, read
-    for a first or full build; the other modes stage the days they need.
+    for a first or full build; the other modes stage the days they need. It is ``placed``
+    where it comes in the fact's order (``stage_weather_in_order`` by ``FACT_ORDER``).
     """
     if mode not in (FACT_WATERMARK, FACT_CHANGED, FACT_FULL):
         raise ValueError(f"no such way to refresh the fact: {mode}")
@@ -201,7 +203,7 @@ def refresh_fact(
     built = is_committed(spark, path)
     if built and mode == FACT_WATERMARK:
         # read through the view, the days prune the raw partitions and just they are deduplicated
-        refresh_weather_fact(spark, stage_weather(raw), path)
+        refresh_weather_fact(spark, stage_weather_in_order(raw, FACT_ORDER), path, placed=True)
         return
     seen = None
     if raw_path:
@@ -210,13 +212,13 @@ def refresh_fact(
     ledger = table_or_none(spark, ledger_path, DAYS_SCHEMA) if built and mode == FACT_CHANGED else None
     columns = STAGED_WEATHER.names
     if not built or mode == FACT_FULL:
-        write_partitioned(staged.select(*columns), path, "date", ["fips"], REPLACE_TABLE)
+        write_partitioned(staged.select(*columns), path, "date", ["fips"], REPLACE_TABLE, rebalance=not placed)
     else:
         before = ledger if ledger is not None else seen.limit(0)
         write_table(changes(seen, before, "date").where("NOT gone"), lake.staging(CHANGED_DAYS))
         days = spark.read.schema("date date, gone boolean").parquet(lake.staging(CHANGED_DAYS))
-        late = stage_weather(changed_days(raw, days))
-        write_partitioned(late.select(*columns), path, "date", ["fips"], REPLACE_PARTITIONS)
+        late = stage_weather_in_order(changed_days(raw, days), FACT_ORDER)
+        write_partitioned(late.select(*columns), path, "date", ["fips"], REPLACE_PARTITIONS, rebalance=False)
     if seen is not None:
         write_table(seen, ledger_path)
 

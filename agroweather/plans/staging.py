@@ -22,12 +22,26 @@ GRAIN_UNIT = "BU / ACRE"
 
 def stage_weather(raw: DataFrame) -> DataFrame:
     """``stg_weather_daily``: the latest load of every (fips, date), units in the names."""
-    observed = raw.select("fips", "date", *WEATHER_VARIABLES, INGEST_STAMP)
-    return (
-        latest_per_key(observed, ["fips", "date"], INGEST_STAMP)
-        .withColumnsRenamed(STAGED_NAMES)
-        .select(*STAGED_WEATHER.names)
-    )
+    return _latest_weather(raw, ["fips", "date"]).select(*STAGED_WEATHER.names)
+
+
+def _latest_weather(raw: DataFrame, keys: list[str]) -> DataFrame:
+    observed = raw.select(*keys, *WEATHER_VARIABLES, INGEST_STAMP)
+    return latest_per_key(observed, keys, INGEST_STAMP).withColumnsRenamed(STAGED_NAMES)
+
+
+def stage_weather_in_order(raw: DataFrame, order: list[str]) -> DataFrame:
+    """:func:`stage_weather`, placed by ranges of ``order`` for a writer that wants this order.
+
+    ``order`` holds fips, date and columns of ``raw`` that follow from them, which stay in
+    the result. The rows are shuffled and sorted once: a range keeps the copies of a key
+    together, so that neither the deduplication nor a writer by the first columns moves or
+    sorts them again, and a large day or month is split over tasks between two keys. The
+    copies of one key, one for each load, meet in one task.
+    """
+    rest = [name for name in order if name not in STAGED_WEATHER.names]
+    observed = raw.select(*order, *WEATHER_VARIABLES, INGEST_STAMP).repartitionByRange(*order)
+    return _latest_weather(observed, order).select(*STAGED_WEATHER.names, *rest)
 
 
 def stage_yields(raw: DataFrame) -> DataFrame:

@@ -68,6 +68,11 @@ def staged_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.stage_weather(views.raw_weather(spark, sf_dir))
 
 
+def staged_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged weather in the order of the weather fact, for its writers."""
+    return plans.stage_weather_in_order(views.raw_weather(spark, sf_dir), plans.FACT_ORDER)
+
+
 def staged_yields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.stage_yields(views.raw_yields(spark, sf_dir))
 
@@ -102,48 +107,51 @@ def observed_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_weather_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Lake(scratch_path(spark, "fact-full")).mart("fact_weather_daily")
-    plans.refresh_weather_fact(spark, staged_weather(spark, sf_dir), path)
+    plans.refresh_weather_fact(spark, staged_in_order(spark, sf_dir), path, placed=True)
     return read_table(spark, path, STAGED_WEATHER)
 
 
 def fact_weather_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table of earlier days, marked by a wind speed of -1, then one incremental build."""
     path = Lake(scratch_path(spark, "fact-incremental")).mart("fact_weather_daily")
-    staged = staged_weather(spark, sf_dir)
+    staged = staged_in_order(spark, sf_dir)
     earlier = staged.filter(F.col("date") <= F.lit(INCREMENTAL_UNTIL)).withColumn(
         "wind_speed_kmh", F.lit(-1.0)
     )
-    plans.refresh_weather_fact(spark, earlier, path)
-    plans.refresh_weather_fact(spark, staged, path)
+    plans.refresh_weather_fact(spark, earlier, path, placed=True)
+    plans.refresh_weather_fact(spark, staged, path, placed=True)
     return read_table(spark, path, STAGED_WEATHER)
 
 
 def fact_weather_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a first build left behind without its commit marker, then a build."""
     path = Lake(scratch_path(spark, "fact-recovered")).mart("fact_weather_daily")
-    staged = staged_weather(spark, sf_dir)
+    staged = staged_in_order(spark, sf_dir)
     plans.refresh_weather_fact(
-        spark, staged.filter(F.month("date") == 6).withColumn("wind_speed_kmh", F.lit(-1.0)), path
+        spark,
+        staged.filter(F.month("date") == 6).withColumn("wind_speed_kmh", F.lit(-1.0)),
+        path,
+        placed=True,
     )
     remove_folder(spark, f"{path}/_SUCCESS")
-    plans.refresh_weather_fact(spark, staged, path)
+    plans.refresh_weather_fact(spark, staged, path, placed=True)
     return read_table(spark, path, STAGED_WEATHER)
 
 
 def fact_refresh_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A refresh that was cut off when it had moved the days of one month only, then the next."""
     path = Lake(scratch_path(spark, "fact-cut")).mart("fact_weather_daily")
-    staged = staged_weather(spark, sf_dir)
+    staged = staged_in_order(spark, sf_dir)
     until = F.lit(INCREMENTAL_UNTIL)
-    plans.refresh_weather_fact(spark, staged.filter(F.col("date") <= until), path)
+    plans.refresh_weather_fact(spark, staged.filter(F.col("date") <= until), path, placed=True)
     later = staged.filter(F.col("date") >= op.high_watermark(spark, path))
-    sinks.write_beside(later, path, "date", ["fips"])
+    sinks.write_beside(later, path, "date", ["fips"], rebalance=False)
     publish.decide(spark, path, REPLACE_PARTITIONS)
     for folder in publish.partition_folders(spark, publish.incoming(path)):
         if date.fromisoformat(folder.removeprefix("date=")).month == CUT_MONTH:
             remove_folder(spark, f"{path}/{folder}")
             publish.move(spark, f"{publish.incoming(path)}/{folder}", f"{path}/{folder}")
-    plans.refresh_weather_fact(spark, staged, path)
+    plans.refresh_weather_fact(spark, staged, path, placed=True)
     return read_table(spark, path, STAGED_WEATHER)
 
 
@@ -156,7 +164,13 @@ def fact_late_window(spark: SparkSession, sf_dir: str) -> DataFrame:
         op.write_partitioned(raw.filter(days), path, "date", ["fips"])
         loaded = read_table(spark, path, RAW_WEATHER)
         plans.refresh_fact(
-            spark, plans.stage_weather(loaded), loaded, lake, mode=plans.FACT_CHANGED, raw_path=path
+            spark,
+            plans.stage_weather_in_order(loaded, plans.FACT_ORDER),
+            loaded,
+            lake,
+            mode=plans.FACT_CHANGED,
+            raw_path=path,
+            placed=True,
         )
     return read_table(spark, lake.mart("fact_weather_daily"), STAGED_WEATHER)
 

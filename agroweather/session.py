@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+# A table by days has thousands of folders; as many tasks to list them cost more than the listing.
+LISTING_TASKS = 64
 
 
 def build_session(
@@ -48,9 +50,13 @@ def is_local(spark: SparkSession) -> bool:
 def configure(spark: SparkSession) -> SparkSession:
     """Settings a session may get after it was started.
 
-    Load stamps are UTC instants, so the session has to render them in UTC.
+    Load stamps are UTC instants, so the session has to render them in UTC. The
+    folders of a table are listed by a few tasks, not by one task a folder; a session
+    that asks for fewer keeps its number.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    listing = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    spark.conf.set(listing, str(min(int(spark.conf.get(listing)), LISTING_TASKS)))
     return spark
 
 

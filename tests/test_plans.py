@@ -14,6 +14,7 @@ from agroweather.plans.ingestion import STATES
 from agroweather.sources.constants import constant_rows
 from agroweather.functions import in_season
 from agroweather.schemas import RAW_WEATHER, STAGED_WEATHER
+from agroweather.session import configure
 from agroweather.sources import Lake, attach_points, parse_weather_payloads, parse_yield_payloads, read_table
 from tests.conftest import day, stamp
 
@@ -59,6 +60,33 @@ def test_copies_are_dropped_before_the_shuffle(stored_weather):
     assert text.count("Exchange") == 1
 
 
+def test_rows_staged_in_order_are_shuffled_and_sorted_once(stored_weather):
+    staged = plans.stage_weather_in_order(stored_weather, plans.FACT_ORDER)
+    text = plan(staged.sortWithinPartitions(*plans.FACT_ORDER))
+    assert text.count("Exchange") == 1 and "Exchange rangepartitioning(date" in text
+    assert len(re.findall(r"\bSort \[", text)) == 1
+    newer = plan(staged.filter(F.col("date") >= F.lit(day("2025-05-01"))))
+    assert ">= 2025-05-01" in re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", newer).group(1)
+
+
+def test_rows_staged_in_order_are_those_of_staging(raw_weather):
+    made = [
+        {"fips": f, "date": d and day(d), "temperature_2m_max": t, "_ingested_at": s and stamp(s)}
+        for f in ("31055", None) for d in ("2025-05-01", None) for t in (None, 20.0) for s in (None, 8, 8, 9)
+    ]
+    raw = raw_weather(*made)
+    staged = plans.stage_weather_in_order(raw, plans.FACT_ORDER)
+    assert sorted(map(str, staged.collect())) == sorted(map(str, plans.stage_weather(raw).collect()))
+    assert staged.count() == 4
+
+
+def test_few_tasks_list_the_folders_of_a_table(spark):
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    for given, kept in (("10000", "64"), ("4", "4")):
+        with settings(spark, **{key.replace(".", "__"): given}):
+            assert configure(spark).conf.get(key) == kept
+
+
 def test_season_filter_prunes_partitions_below_the_window(stored_weather):
     features = plans.season_features(plans.stage_weather(stored_weather))
     filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan(features)).group(1)
