@@ -19,10 +19,12 @@ def weather_payloads(raw_weather: DataFrame, batches: DataFrame) -> DataFrame:
     """``(batch_id, body)``: one response per batch, a bare object where it has one point.
 
     Days are deduplicated first, so a block holds at most one entry per day, and
-    a response at most one block per point of its batch.
+    a response at most one block per point of its batch. Rows are placed by county once,
+    for both; those without a county are in no batch.
     """
     place = batches.select("batch_id", F.posexplode("fips_list").alias("place", "fips"))
-    days = latest_per_key(raw_weather, ["fips", "date"], "_ingested_at")
+    by_county = raw_weather.dropna(subset=["fips"]).repartition("fips")
+    days = latest_per_key(by_county, ["fips", "date"], "_ingested_at")
     blocks = (
         days.groupBy("fips", "latitude", "longitude")
         .agg(F.sort_array(F.collect_list(F.struct("date", *WEATHER_VARIABLES))).alias("days"))

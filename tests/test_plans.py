@@ -11,6 +11,7 @@ from agroweather import operators as op
 from agroweather import plans
 from agroweather.operators import sinks
 from agroweather.plans.ingestion import STATES
+from agroweather.proxies import payloads
 from agroweather.sources.constants import constant_rows
 from agroweather.functions import in_season
 from agroweather.schemas import RAW_WEATHER, STAGED_WEATHER
@@ -80,6 +81,16 @@ def test_rows_staged_in_order_are_those_of_staging(raw_weather):
     assert staged.count() == 4
 
 
+def test_payload_days_are_placed_by_county_once(stored_weather):
+    batches = stored_weather.sparkSession.createDataFrame(
+        [(0, ["31055", "31057"])], "batch_id bigint, fips_list array<string>"
+    )
+    text = plan(payloads.weather_payloads(stored_weather, batches))
+    assert "hashpartitioning(fips, date" not in text and "hashpartitioning(fips#" in text
+    assert "hashpartitioning(fips, latitude" not in text
+    assert not re.search(r"hashpartitioning\(fips#\d+, [a-z]", text)
+
+
 def test_few_tasks_list_the_folders_of_a_table(spark):
     key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
     for given, kept in (("10000", "64"), ("4", "4")):
