@@ -28,7 +28,7 @@ from agroweather.operators.publish import REPLACE_PARTITIONS, REPLACE_TABLE, rec
 from agroweather.operators.sinks import write_partitioned, write_table
 from agroweather.plans.features import season_features
 from agroweather.plans.marts import FACT_ORDER, refresh_weather_fact
-from agroweather.plans.staging import stage_weather, stage_weather_in_order
+from agroweather.plans.staging import stage_weather_in_order
 from agroweather.schemas import SEASON_FEATURES, STAGED_WEATHER
 from agroweather.session import remove_folder
 from agroweather.sources.lake import Lake, is_committed, read_table, table_or_none
@@ -105,8 +105,9 @@ def among(column: Column, values: Iterable) -> Column:
 
 
 def _write_staged(raw: DataFrame, path: str, replace: str, drop: Iterable[str] = ()) -> None:
-    staged = stage_weather(raw).withColumn(MONTH, F.trunc("date", "month"))
-    write_partitioned(staged, path, MONTH, ["fips", "date"], replace, drop=list(drop))
+    by_month = raw.withColumn(MONTH, F.trunc("date", "month"))
+    staged = stage_weather_in_order(by_month, [MONTH, "fips", "date"])
+    write_partitioned(staged, path, MONTH, ["fips", "date"], replace, rebalance=False, drop=list(drop))
 
 
 def features_of(staged: DataFrame, season_start: str, season_end: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from agroweather import operators as op
 from agroweather import plans
 from agroweather.operators import sinks
+from agroweather.plans import refresh
 from agroweather.plans.ingestion import STATES
 from agroweather.proxies import payloads
 from agroweather.sources.constants import constant_rows
@@ -81,6 +82,20 @@ def test_rows_staged_in_order_are_those_of_staging(raw_weather):
     assert staged.count() == 4
 
 
+def test_staged_months_are_shuffled_and_sorted_once(stored_weather, monkeypatch):
+    written = []
+
+    def write(df, path, by, cluster_by, replace, rebalance=True, drop=()):
+        written.append((plan(df.sortWithinPartitions(by, *cluster_by)), rebalance))
+
+    monkeypatch.setattr(refresh, "write_partitioned", write)
+    refresh._write_staged(stored_weather, "staged", "table")
+    [(text, rebalance)] = written
+    assert not rebalance
+    assert text.count("Exchange") == 1 and "Exchange rangepartitioning(month" in text
+    assert len(re.findall(r"\bSort \[", text)) == 1
+
+
 def test_payload_days_are_placed_by_county_once(stored_weather):
     batches = stored_weather.sparkSession.createDataFrame(
         [(0, ["31055", "31057"])], "batch_id bigint, fips_list array<string>"
