@@ -1,11 +1,13 @@
 """BPE encoding and decoding with a public word-level vocabulary (operator 3).
 
-Method: every word is a doubly linked list of symbols and a priority queue of
-merge ranks; queue entries whose symbols have changed meanwhile are stale and
-skipped. Decoding concatenates the vocabulary strings of the ids. Rows are
-independent, so the job is one map without a shuffle; each Python worker keeps
-a bounded cache of encoded words in two generations, so that frequent words
-outlive the many that occur once.
+Method: the distinct words of a slice of rows that are not cached are merged
+together. Each is a row of a matrix and a doubly linked list of symbols; a round
+merges the pair of lowest rank of every row. Long words are merged singly, with a
+priority queue of ranks; queue entries whose symbols have changed meanwhile are
+stale and skipped. Decoding concatenates the vocabulary strings of the ids. Rows
+are independent, so the job is one map without a shuffle; each Python worker
+keeps a bounded cache of encoded words in two generations, so that frequent
+words outlive the many that occur once.
 
 Defined results: a NULL text is the empty text, which has no ids and decodes to
 the empty string; a NULL id stays NULL; repeated rows give repeated rows; an
@@ -16,9 +18,9 @@ from __future__ import annotations
 
 import heapq
 import json
-import struct
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +28,14 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from agroweather.llm.common import sha256, slices
+from agroweather.llm.common import sha256, slices, texts
 
-CACHED_WORDS = 120_000  # of one generation
+CACHED_WORDS = 120_000  # of one generation, beside those of the last slice
+LONGEST_CACHED = 64  # code points
+LONGEST_ROW = 64  # bytes of a word that is merged in a matrix
+MATRIX_ROWS = 8192
+WORDS_BYTES = 1 << 20  # of the texts whose words are merged together
+NO_PAIR = np.iinfo(np.int32).max
 # What the public tokenizers library takes as white space.
 SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PYTHON_ONLY_SPACE = "\x1c\x1d\x1e\x1f"  # for str.split, not for the library
@@ -102,6 +109,16 @@ class Bpe:
         self.final = [vocab[letters[byte] + self.suffix] for byte in range(256)]
         self.pieces = regex.compile(split["pattern"]["Regex"].replace("\\s", SPACE))
         self.chunks = regex.compile(f"[^{SPACE}]+")
+        # the same for arrays: pairs as sorted numbers, the last larger than any pair
+        self.absent = max(self.strings) + 1
+        ranks = np.fromiter(self.ranks.values(), np.int32, len(self.ranks))
+        pairs = np.array(list(self.ranks), np.int64).reshape(-1, 2) @ [self.absent + 1, 1]
+        order = np.argsort(pairs)
+        self.pair_numbers = np.append(pairs[order], (self.absent + 1) ** 2)
+        self.pair_ranks = np.append(ranks[order], NO_PAIR).astype(np.int32)
+        self.made_of_rank = np.array(self.made, np.int64)
+        self.byte_symbols = np.array([self.inner, self.final], np.int64)
+        self.assigned: set[str] = set()
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
@@ -150,56 +167,134 @@ class Bpe:
                     push(queue, rank << bits | left)
         return [symbol for symbol in symbols if symbol >= 0]
 
+    def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Merge ranks of pairs of symbols, ``NO_PAIR`` where there is none."""
+        pairs = left * (self.absent + 1) + right
+        at = np.searchsorted(self.pair_numbers, pairs)
+        return np.where(self.pair_numbers[at] == pairs, self.pair_ranks[at], NO_PAIR)
+
+    def merge_matrix(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words of similar lengths, merged as in ``merge_word``, one pair of each word a round.
+
+        Ranks, symbols and neighbours are matrices with a row for each word, an
+        absent symbol before it and at least one behind it. A pair stands at its
+        left symbol.
+        """
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        width = int(sizes.max()) + 2
+        rows = np.arange(len(words))
+        inside = np.arange(width - 1) < sizes[:, None]
+        letters = np.zeros(inside.shape, np.uint8)
+        letters[inside] = np.frombuffer(b"".join(words), np.uint8)
+        symbols = np.full((len(words), width), self.absent, np.int64)
+        symbols[:, 1:][inside] = self.byte_symbols[0][letters[inside]]
+        symbols[rows, sizes] = self.byte_symbols[1][letters[rows, sizes - 1]]
+        ranks = np.full(symbols.shape, NO_PAIR, np.int32)
+        paired = inside[:, 1:]
+        ranks[:, 1:-1][paired] = self.ranks_of(symbols[:, 1:-1][paired], symbols[:, 2:][paired])
+        symbol, rank = symbols.ravel(), ranks.ravel()
+        after, before = np.arange(1, symbol.size + 1), np.arange(-1, symbol.size - 1)
+        while True:
+            at = rows * width + ranks[rows].argmin(axis=1)
+            best = rank[at]
+            more = best != NO_PAIR
+            rows, at, best = rows[more], at[more], best[more]
+            if not rows.size:
+                break
+            gone, left = after[at], before[at]
+            right = after[gone]
+            merged = self.made_of_rank[best]
+            symbol[at], symbol[gone], rank[gone] = merged, self.absent, NO_PAIR
+            after[at], before[right] = right, at
+            rank[at] = self.ranks_of(merged, symbol[right])
+            rank[left] = self.ranks_of(symbol[left], merged)
+        kept = symbols != self.absent
+        ids = symbols[kept].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(kept.sum(axis=1))).tolist()
+        return [ids[start:end] for start, end in zip([0, *ends], ends)]
+
+    def merge_words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Distinct words and their ids, as little-endian 32-bit integers."""
+        letters = [word.encode() for word in words]
+        sizes = np.fromiter(map(len, letters), np.int64, len(letters))
+        order = np.argsort(sizes, kind="stable")
+        short = int(np.count_nonzero(sizes <= LONGEST_ROW))
+        for start in range(0, short, MATRIX_ROWS):
+            part = order[start : min(start + MATRIX_ROWS, short)].tolist()
+            yield from zip([words[at] for at in part], self.merge_matrix([letters[at] for at in part]))
+        for at in order[short:].tolist():
+            yield words[at], np.array(self.merge_word(letters[at]), "<u4").tobytes()
+
     def pieces_of(self, text: str) -> list[str]:
         """The words of a lower-cased run without white space.
 
         The regex module knows letters and numbers that the library's older
         tables leave unassigned; those split like signs.
         """
-        if text.isascii() or "Cn" not in set(map(unicodedata.category, text)):
+        if text.isascii() or self.assigned.issuperset(text):
+            return self.pieces.findall(text)
+        if "Cn" not in set(map(unicodedata.category, text)):
+            self.assigned.update(text)
             return self.pieces.findall(text)
         text = text.translate(NEWER_SMALL)
         plain = "".join(NO_CHARACTER if unassigned(c) else c for c in text)
         return [text[slice(*match.span())] for match in self.pieces.finditer(plain)]
 
-    def encode_chunk(self, chunk: str) -> bytes:
-        """Ids of a run without white space, as little-endian 32-bit integers."""
+    def words_of(self, chunk: str) -> list[str]:
+        """The words of a run without white space, as they are merged."""
         text = unicodedata.normalize("NFC", chunk)
         # a capital sigma is lowered without a look at its neighbours
-        text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
-        words, out = self.words, []
-        for piece in self.pieces_of(text):
-            found = words.get(piece)
-            if found is None:
-                ids = self.merge_word(piece.encode())
-                found = struct.pack(f"<{len(ids)}I", *ids)
-                if len(piece) <= 64:
-                    words[piece] = found
-            out.append(found)
-        return out[0] if len(out) == 1 else b"".join(out)
+        return self.pieces_of("".join(map(str.lower, text)) if "Σ" in text else text.lower())
+
+    def chunks_of(self, text: str) -> list[str]:
+        """The special tokens of a text, and the runs without white space between them."""
+        out: list[str] = []
+        for part in self.special_split.split(text) if "<|" in text else [text]:
+            if part in self.special:
+                out.append(part)
+            elif any(sign in part for sign in PYTHON_ONLY_SPACE):
+                out += self.chunks.findall(part)
+            else:
+                out += part.split()
+        return out
+
+    def learn(self, chunks: set[str]) -> None:
+        """Put the ids of chunks into the cache, which lacks them."""
+        cache, older, words = self.cache, self.older, self.words
+        spelled = {}
+        for chunk in chunks:
+            ids = older.get(chunk)
+            if ids is not None:
+                cache[chunk] = ids
+            elif chunk in self.special:
+                cache[chunk] = np.array([self.special[chunk]], dtype="<u4").tobytes()
+            else:
+                spelled[chunk] = self.words_of(chunk)
+        fresh = list(set(chain.from_iterable(spelled.values())).difference(words))
+        words.update(self.merge_words(fresh))
+        for chunk, pieces in spelled.items():
+            cache[chunk] = words[pieces[0]] if len(pieces) == 1 else b"".join([words[piece] for piece in pieces])
+        for piece in fresh:
+            if len(piece) > LONGEST_CACHED:
+                del words[piece]
 
     def encode(self, text: str) -> bytes:
-        parts = self.special_split.split(text) if "<|" in text else [text]
+        return self.encode_all([text])[0]
+
+    def encode_all(self, values: list[str]) -> list[bytes]:
+        """Ids of each text, as little-endian 32-bit integers."""
         if len(self.cache) > CACHED_WORDS:
             self.cache, self.older = {}, self.cache
         if len(self.words) > CACHED_WORDS:
             self.words.clear()
-        cache, older, out = self.cache, self.older, []
-        for part in parts:
-            if part in self.special:
-                out.append(np.array([self.special[part]], dtype="<u4").tobytes())
-                continue
-            plain = not any(sign in part for sign in PYTHON_ONLY_SPACE)
-            for chunk in part.split() if plain else self.chunks.findall(part):
-                ids = cache.get(chunk)
-                if ids is None:
-                    ids = older.get(chunk)
-                    if ids is None:
-                        ids = self.encode_chunk(chunk)
-                    if len(chunk) <= 64:
-                        cache[chunk] = ids
-                out.append(ids)
-        return b"".join(out)
+        chunks, cache = [self.chunks_of(text) for text in values], self.cache
+        fresh = set().union(*chunks).difference(cache)
+        self.learn(fresh)
+        out = [b"".join(map(cache.__getitem__, row)) for row in chunks]
+        for chunk in fresh:
+            if len(chunk) > LONGEST_CACHED:
+                del cache[chunk]
+        return out
 
     def decode(self, ids: bytes) -> str:
         return self.decode_all([ids])[0].decode()
@@ -228,8 +323,8 @@ def encode_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe(vocabulary)
-        for batch in slices(batches):
-            encoded = [bpe.encode(value or "") for value in batch.column(1).to_pylist()]
+        for batch in slices(batches, WORDS_BYTES):
+            encoded = bpe.encode_all(texts(batch, 1))
             counts = np.array([len(ids) // 4 for ids in encoded], dtype=np.int64)
             columns = [batch.column(0)]
             if with_ids:

@@ -99,14 +99,14 @@ def lower_ascii(column: Column) -> Column:
 SLICE_BYTES = 4 << 20
 
 
-def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches cut to about ``SLICE_BYTES`` each, one row at least.
+def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut to about ``size`` bytes each, one row at least.
 
     A worker turns one slice at a time into Python objects, so its memory does
     not grow with the length of the texts beyond the longest one.
     """
     for batch in batches:
-        rows = max(1, int(batch.num_rows * SLICE_BYTES / max(batch.nbytes, SLICE_BYTES)))
+        rows = max(1, int(batch.num_rows * size / max(batch.nbytes, size)))
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
 

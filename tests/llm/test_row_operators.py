@@ -86,6 +86,28 @@ def test_bpe_cache_generations(vocabulary, monkeypatch):
     assert own.encode(text) == once == own.encode(text)
 
 
+def test_bpe_merges_short_words_together(vocabulary, monkeypatch):
+    """Only words too long for a matrix go through the queue, and all equal the library."""
+    library, own, draw, single = Tokenizer.from_file(vocabulary), bpe.Bpe(vocabulary), random.Random(5), []
+    merge_word = bpe.Bpe.merge_word
+    monkeypatch.setattr(bpe.Bpe, "merge_word", lambda self, word: single.append(word) or merge_word(self, word))
+    monkeypatch.setattr(bpe, "MATRIX_ROWS", 50, raising=False)
+    lengths = [*range(1, 70), *(draw.randrange(1, 20) for _ in range(600)), 300]
+    words = ["".join(draw.choice("aeinrstlhé") for _ in range(n)) for n in lengths] + ["a" * n for n in (2, 3, 7, 64, 65)]
+    text = " ".join(draw.choice(["", "<|endoftext|>", "(", "l'"]) + word.title() for word in words)
+    assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert 0 < len(single) < 20 and min(map(len, single)) > 64
+
+
+def test_bpe_slice_equals_single_texts(vocabulary):
+    """The texts of a slice share words, long ones, special tokens and empty texts among them."""
+    given = [text or "" for _, text, *_ in CASES] + ["x" * 100, "x" * 100 + " <|endoftext|>", "日本" * 40, ""]
+    whole = bpe.Bpe(vocabulary)
+    assert whole.encode_all(given) == [bpe.Bpe(vocabulary).encode(text) for text in given] == whole.encode_all(given)
+    assert whole.encode_all([]) == []
+    assert max(map(len, [*whole.cache, *whole.words])) <= 64
+
+
 # ---- secrets
 
 
